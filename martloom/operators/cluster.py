@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -39,11 +41,19 @@ def kmeans_fit(df: DataFrame, cols: Sequence[str], k: int, seed: int = SEED) ->
     return model, model.transform(prepared).drop("_features")
 
 
-def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = K_RANGE, seed: int = SEED) -> DataFrame:
-    """Inertia for each k. The frame is computed once for all of them."""
+def kmeans_sweep(
+    df: DataFrame, cols: Sequence[str], ks: Sequence[int] = K_RANGE, seed: int = SEED, parallelism: int = 4
+) -> DataFrame:
+    """Inertia for each k. The frame is computed once for all fits, a few of which run at a time."""
     kept = df.select(*cols).persist()
+
+    def cost(k: int) -> tuple[int, float]:
+        return k, float(kmeans_fit(kept, cols, k, seed)[0].summary.trainingCost)
+
     try:
-        costs = [(k, float(kmeans_fit(kept, cols, k, seed)[0].summary.trainingCost)) for k in ks]
+        kept.count()
+        with ThreadPoolExecutor(parallelism) as pool:
+            costs = list(pool.map(inheritable_thread_target(df.sparkSession)(cost), ks))
     finally:
         kept.unpersist()
     return df.sparkSession.createDataFrame(costs, "k int, sse double")
@@ -118,15 +128,17 @@ def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     means = points.groupBy("label").agg(F.array(*[F.avg(F.col("v")[d]) for d in range(width)]).alias("c"))
     by_label = means.agg(F.map_from_entries(F.collect_list(F.struct("label", "c"))).alias("m")).scalar()
     spread = (
-        points.select("label", _distance(F.col("v"), F.element_at(by_label, F.col("label"))).alias("d"))
+        points.withColumn("c", F.element_at(by_label, F.col("label")))
+        .select("label", _distance(F.col("v"), F.col("c")).alias("d"))
         .groupBy("label")
         .agg(F.avg("d").alias("s"))
-        .select("label", "s", F.element_at(by_label, F.col("label")).alias("c"))
+        .withColumn("c", F.element_at(by_label, F.col("label")))
     )
-    all_clusters = spread.agg(F.collect_list(F.struct("label", "s", "c")).alias("all")).scalar()
+    clusters = spread.agg(F.collect_list(F.struct("label", "s", "c")).alias("all")).scalar()
+    spread = spread.withColumn("all", clusters)
     worst = F.array_max(
         F.transform(
-            F.filter(all_clusters, lambda o: o["label"] != F.col("label")),
+            F.filter("all", lambda o: o["label"] != F.col("label")),
             lambda o: (F.col("s") + o["s"]) / _distance(F.col("c"), o["c"]),
         )
     )

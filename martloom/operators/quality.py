@@ -129,51 +129,97 @@ class DataTest:
         return globals()[self.kind](df, *cols, **a, where=self.where)
 
 
-def _missing_parents(test: DataTest, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Number of orphans, counted per key before the join so that a hot key is one row in it."""
-    col = F.col(test.columns[0])
-    scoped = _scope(tables[test.model], test.where).filter(col.isNotNull())
-    per_key = scoped.groupBy(col.alias("_key")).agg(F.count(F.lit(1)).alias("n"))
-    orphans = relationships(per_key, "_key", tables[test.args["to"]], test.args["field"])
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+def _keys(test: DataTest) -> Column:
+    """The key a grouping or reference test counts, or null where the row does not take part."""
+    cols = [F.col(c) for c in test.columns]
+    takes_part = F.expr(test.where) if test.where else F.lit(True)
+    if test.kind == "accepted_values":
+        takes_part = takes_part & _outside(cols[0], test.args["values"])
+    elif test.kind != "unique_combination":
+        takes_part = takes_part & cols[0].isNotNull()
+    return F.when(takes_part, F.array(*[c.cast("string") for c in cols]))
+
+
+def _key_counts(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]) -> DataFrame:
+    """Rows per (test, key) over all models: one scan per model and one shuffle, combined map-side."""
+    keyed = []
+    for model in dict.fromkeys(t.model for t in tests.values()):
+        pairs = [
+            F.struct(F.lit(i).alias("test_no"), _keys(t).alias("key")) for i, t in tests.items() if t.model == model
+        ]
+        keyed.append(tables[model].select(F.inline(F.array(*pairs))).filter(F.col("key").isNotNull()))
+    together = reduce(DataFrame.unionByName, keyed)
+    return together.groupBy("test_no", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _parent_keys(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]) -> DataFrame:
+    """Every parent key once per test that refers to it."""
+    parents: dict[tuple[str, str], list[int]] = {}
+    for i, t in tests.items():
+        parents.setdefault((t.args["to"], t.args["field"]), []).append(i)
+    keys = [
+        tables[table].select(
+            F.explode(F.array(*[F.lit(i) for i in numbers])).alias("test_no"),
+            F.array(F.col(field_name).cast("string")).alias("key"),
+        )
+        for (table, field_name), numbers in parents.items()
+    ]
+    return reduce(DataFrame.unionByName, keys)
+
+
+def _row_failures(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]) -> list[DataFrame]:
+    """Failures of the single-row tests: one pass per model for all of them."""
+    counts = []
+    for model in dict.fromkeys(t.model for t in tests.values()):
+        mine = {i: t for i, t in tests.items() if t.model == model}
+        failures = [
+            F.count_if((F.expr(t.where) if t.where else F.lit(True)) & t.row_predicate()).alias(str(i))
+            for i, t in mine.items()
+        ]
+        pairs = [F.struct(F.lit(i).alias("test_no"), F.col(str(i)).alias("failures")) for i in mine]
+        counts.append(tables[model].agg(*failures).select(F.inline(F.array(*pairs))))
+    return counts
 
 
 def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> DataFrame:
     """One report row per test: model, test, column, failures, severity, status.
 
-    All single-row tests of a model share one pass over it. Pass tables that are stored, since
-    each of the grouping and reference tests reads its model once more.
+    Each model is scanned twice, whatever the number of its tests: once for the single-row tests
+    and once for the tests that count keys. Keys are counted before they meet the parents, so a
+    hot key is one row there. Pass stored tables.
     """
-    numbered = list(enumerate(suite))
-    counts: list[DataFrame] = []
-    for model in dict.fromkeys(t.model for t in suite):
-        rowwise = [(i, t) for i, t in numbered if t.model == model and t.row_predicate() is not None]
-        if rowwise:
-            scoped = [
-                F.count_if((F.expr(t.where) if t.where else F.lit(True)) & t.row_predicate()).alias(str(i))
-                for i, t in rowwise
-            ]
-            pairs = F.array(*[F.struct(F.lit(i).alias("test_no"), F.col(str(i)).alias("failures")) for i, _ in rowwise])
-            counts.append(tables[model].agg(*scoped).select(F.inline(pairs)))
-    for i, t in numbered:
-        if t.row_predicate() is None:
-            if t.kind == "relationships":
-                failures = _missing_parents(t, tables)
-            else:
-                failures = t.failing_rows(tables).agg(F.count(F.lit(1)).alias("failures"))
-            counts.append(failures.select(F.lit(i).alias("test_no"), "failures"))
+    numbered = dict(enumerate(suite))
+    rowwise = {i: t for i, t in numbered.items() if t.row_predicate() is not None}
+    counting = {i: t for i, t in numbered.items() if i not in rowwise}
+    references = {i: t for i, t in counting.items() if t.kind == "relationships"}
+    repeats = [i for i, t in counting.items() if t.kind in ("unique", "unique_combination")]
+
+    found = _row_failures(tables, rowwise)
+    if counting:
+        counts = _key_counts(tables, counting)
+        is_reference = F.col("test_no").isin(*references)
+        bad = (~F.col("test_no").isin(*repeats)) | (F.col("n") > 1)
+        grouped = counts.filter(~is_reference & bad).groupBy("test_no")
+        found.append(grouped.agg(F.count(F.lit(1)).alias("failures")))
+        if references:
+            orphans = counts.filter(is_reference).join(
+                _parent_keys(tables, references), ["test_no", "key"], "left_anti"
+            )
+            found.append(orphans.groupBy("test_no").agg(F.sum("n").alias("failures")))
 
     spark = next(iter(tables.values())).sparkSession
     declared = spark.createDataFrame(
-        [(i, t.model, t.kind, t.label, t.severity) for i, t in numbered],
+        [(i, t.model, t.kind, t.label, t.severity) for i, t in numbered.items()],
         "test_no int, model string, test string, column string, severity string",
     )
+    failures = F.coalesce("failures", F.lit(0))
     failed = F.when(F.col("severity") == "warn", "warn").otherwise("fail")
-    return (
-        reduce(DataFrame.unionByName, counts)
-        .join(declared, "test_no")
-        .select(
-            "test_no", "model", "test", "column", "failures", "severity",
-            F.when(F.col("failures") == 0, "pass").otherwise(failed).alias("status"),
-        )
+    return declared.join(reduce(DataFrame.unionByName, found), "test_no", "left").select(
+        "test_no",
+        "model",
+        "test",
+        "column",
+        failures.alias("failures"),
+        "severity",
+        F.when(failures == 0, "pass").otherwise(failed).alias("status"),
     )

@@ -6,12 +6,12 @@ differently go through :class:`Dialect`; the rest is the same text for both engi
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-GIVEN = ("customer", "supplier", "part", "orders", "lineitem")
-
 STATES = "ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
 
 
@@ -176,21 +176,22 @@ def raw_sql(d: Dialect) -> dict[str, str]:
     }
 
 
-def given_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in GIVEN}
+RAW_TABLES = (
+    "customers", "sellers", "geolocation", "products", "translation", "orders", "order_items", "order_payments",
+    "order_reviews",
+)
 
 
-def derive(spark: SparkSession, name: str, **inputs: DataFrame) -> DataFrame:
-    """One derived table from the tables its SQL names."""
-    return spark.sql(raw_sql(SPARK)[name], **inputs)
+def derive(spark: SparkSession, name: str, table: Callable[[str], DataFrame]) -> DataFrame:
+    """One derived table; ``table`` gives the tables its SQL names."""
+    sql = raw_sql(SPARK)[name]
+    return spark.sql(sql, **{t: table(t) for t in set(re.findall(r"[{](\w+)[}]", sql))})
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All first-load raw tables, keyed without the ``raw_`` prefix."""
-    given = given_tables(spark, sf_dir)
-    sql = raw_sql(SPARK)
-    first = [n for n in sql if n.startswith("raw_") and not n.endswith("_2")]
-    return {
-        n.removeprefix("raw_"): spark.sql(sql[n], **{t: df for t, df in given.items() if "{" + t + "}" in sql[n]})
-        for n in first
-    }
+    """All first-load raw tables of one scale."""
+
+    def given(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    return {name: derive(spark, f"raw_{name}", given) for name in RAW_TABLES}
