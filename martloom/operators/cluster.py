@@ -30,8 +30,12 @@ TILE_ROWS = 4096
 MAX_SAMPLE = 20_000
 
 
+def _array(cols: Sequence[str]) -> Column:
+    return F.expr("array(" + ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in cols) + ")")
+
+
 def _vector(cols: Sequence[str]) -> Column:
-    return array_to_vector(F.array(*[F.col(c).cast("double") for c in cols]))
+    return array_to_vector(_array(cols))
 
 
 def kmeans_fit(df: DataFrame, cols: Sequence[str], k: int, seed: int = SEED) -> tuple[KMeansModel, DataFrame]:
@@ -112,9 +116,7 @@ def _distance(a: Column, b: Column) -> Column:
 
 
 def _points(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    return df.select(
-        F.col(label).alias("label"), F.array(*[F.col(c).cast("double") for c in cols]).alias("v")
-    )
+    return df.select(F.col(label).alias("label"), _array(cols).alias("v"))
 
 
 def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
@@ -124,8 +126,7 @@ def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     and both passes combine map-side. The last step works on the clusters alone.
     """
     points = _points(df, cols, label)
-    width = len(cols)
-    means = points.groupBy("label").agg(F.array(*[F.avg(F.col("v")[d]) for d in range(width)]).alias("c"))
+    means = points.groupBy("label").agg(F.expr(f"array({', '.join(f'avg(v[{d}])' for d in range(len(cols)))}) AS c"))
     by_label = means.agg(F.map_from_entries(F.collect_list(F.struct("label", "c"))).alias("m")).scalar()
     spread = (
         points.withColumn("c", F.element_at(by_label, F.col("label")))

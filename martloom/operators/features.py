@@ -205,15 +205,16 @@ def customer_features(marts: Mapping[str, DataFrame], by_zip: bool = False) -> D
         F.col("avg_order_value").alias("avg_product_category_value"),
         "num_unique_products",
     )
-    filled = measured.select(
-        CUSTOMER, *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in FEATURES]
-    )
+    filled = measured.selectExpr(CUSTOMER, *[f"coalesce(CAST({f} AS DOUBLE), 0D) AS {f}" for f in FEATURES])
     if by_zip:
         places = customers.select(CUSTOMER, "zip_code_prefix").distinct()
         return places.join(filled, CUSTOMER).drop("zip_code_prefix")
     return filled
 
 
+_MOMENTS = (("mean", "avg"), ("std", "stddev_pop"))
+
+
 def standard_scale(
     df: DataFrame, cols: Sequence[str], id_col: str, as_float32: bool = True
 ) -> tuple[DataFrame, DataFrame]:
@@ -221,15 +222,11 @@ def standard_scale(
 
     The statistics are one row, used as a subquery, so the data is not shuffled.
     """
-    stats = df.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in cols],
-        *[F.stddev_pop(c).alias(f"std_{c}") for c in cols],
-    )
-    row = stats.select(F.struct("*").alias("s")).scalar()
+    stats = df.agg(*[F.expr(f"{f}(`{c}`) AS `{name}_{c}`") for c in cols for name, f in _MOMENTS])
     kind = "float" if as_float32 else "double"
-
-    def scaled(c: str) -> Column:
-        std = row[f"std_{c}"]
-        return ((F.col(c) - row[f"mean_{c}"]) / F.when(std == 0, 1.0).otherwise(std)).cast(kind).alias(c)
-
-    return df.select(id_col, *[scaled(c) for c in cols]), stats
+    scaled = [
+        f"CAST((`{c}` - _s.`mean_{c}`) / CASE WHEN _s.`std_{c}` = 0 THEN 1 ELSE _s.`std_{c}` END AS {kind}) AS `{c}`"
+        for c in cols
+    ]
+    with_stats = df.withColumn("_s", stats.select(F.struct("*").alias("s")).scalar())
+    return with_stats.selectExpr(f"`{id_col}`", *scaled), stats

@@ -7,39 +7,70 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _literal(value: Any) -> str:
+    """A Python value as SQL text."""
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, float):
+        return f"{value!r}D"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    raise TypeError(f"no SQL literal for {type(value).__name__}")
+
+
+def _name(col: str) -> str:
+    return f"`{col}`"
+
+
 def _scope(df: DataFrame, where: str | None) -> DataFrame:
     return df.filter(where) if where else df
 
 
-def _outside(c: Column, values: Sequence[Any]) -> Column:
+# Failing conditions as SQL text. A null condition is no failure.
+
+
+def _outside(col: str, values: Sequence[Any]) -> str:
     """True for a value that is not listed. Null passes; a null in the list adds nothing to it."""
-    return c.isNotNull() & ~c.isin(*[v for v in values if v is not None])
+    listed = ", ".join(_literal(v) for v in values if v is not None)
+    return f"{_name(col)} IS NOT NULL" + (f" AND {_name(col)} NOT IN ({listed})" if listed else "")
 
 
-def _out_of_range(c: Column, low: Any, high: Any, inclusive: bool) -> Column:
-    bad = F.lit(False)
+def _out_of_range(col: str, low: Any = None, high: Any = None, inclusive: bool = True) -> str:
+    below, above = ("<", ">") if inclusive else ("<=", ">=")
+    bounds = []
     if low is not None:
-        bad = bad | ((c < low) if inclusive else (c <= low))
+        bounds.append(f"{_name(col)} {below} {_literal(low)}")
     if high is not None:
-        bad = bad | ((c > high) if inclusive else (c >= high))
-    return bad
+        bounds.append(f"{_name(col)} {above} {_literal(high)}")
+    return " OR ".join(bounds) or "FALSE"
+
 
+def _not_greater(a: str, b: str, or_equal: bool = False) -> str:
+    return f"NOT ({_name(a)} {'>=' if or_equal else '>'} {_name(b)})"
 
-def _not_greater(a: Column, b: Column, or_equal: bool) -> Column:
-    return ~((a >= b) if or_equal else (a > b))
+
+def _no_match(col: str, regex: str) -> str:
+    return f"NOT ({_name(col)} RLIKE {_literal(regex)})"
+
+
+def _untrue(sql_expr: str) -> str:
+    return f"NOT ({sql_expr})"
 
 
 def not_null(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
-    return _scope(df, where).filter(F.col(col).isNull())
+    return _scope(df, where).filter(f"{_name(col)} IS NULL")
 
 
 def unique(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
     """Values that occur more than once, nulls aside."""
-    counted = _scope(df, where).filter(F.col(col).isNotNull()).groupBy(col)
+    counted = _scope(df, where).filter(f"{_name(col)} IS NOT NULL").groupBy(col)
     return counted.agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
 
 
@@ -51,12 +82,12 @@ def unique_combination(df: DataFrame, cols: Sequence[str], where: str | None = N
 
 def accepted_values(df: DataFrame, col: str, values: Sequence[Any], where: str | None = None) -> DataFrame:
     """Each value that is not accepted, once, with its number of rows."""
-    bad = _scope(df, where).filter(_outside(F.col(col), values))
+    bad = _scope(df, where).filter(_outside(col, values))
     return bad.groupBy(col).agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def in_set(df: DataFrame, col: str, values: Sequence[Any], where: str | None = None) -> DataFrame:
-    return _scope(df, where).filter(_outside(F.col(col), values))
+    return _scope(df, where).filter(_outside(col, values))
 
 
 def relationships(
@@ -64,26 +95,26 @@ def relationships(
 ) -> DataFrame:
     """Child rows whose value does not occur in the parent; null passes."""
     keys = parent.select(F.col(parent_col).alias("_parent_key"))
-    rows = _scope(child, where).filter(F.col(col).isNotNull())
+    rows = _scope(child, where).filter(f"{_name(col)} IS NOT NULL")
     return rows.join(keys, F.col(col) == F.col("_parent_key"), "left_anti")
 
 
 def matches_regex(df: DataFrame, col: str, regex: str, where: str | None = None) -> DataFrame:
-    return _scope(df, where).filter(~F.col(col).rlike(regex))
+    return _scope(df, where).filter(_no_match(col, regex))
 
 
 def accepted_range(
     df: DataFrame, col: str, low: Any = None, high: Any = None, inclusive: bool = True, where: str | None = None
 ) -> DataFrame:
-    return _scope(df, where).filter(_out_of_range(F.col(col), low, high, inclusive))
+    return _scope(df, where).filter(_out_of_range(col, low, high, inclusive))
 
 
 def pair_greater(df: DataFrame, a: str, b: str, or_equal: bool = False, where: str | None = None) -> DataFrame:
-    return _scope(df, where).filter(_not_greater(F.col(a), F.col(b), or_equal))
+    return _scope(df, where).filter(_not_greater(a, b, or_equal))
 
 
 def expression(df: DataFrame, sql_expr: str, where: str | None = None) -> DataFrame:
-    return _scope(df, where).filter(~F.expr(sql_expr))
+    return _scope(df, where).filter(_untrue(sql_expr))
 
 
 @dataclass(frozen=True)
@@ -102,23 +133,10 @@ class DataTest:
         """What the test is about: its columns, or its expression."""
         return self.args["sql_expr"] if self.kind == "expression" else ", ".join(self.columns)
 
-    def row_predicate(self) -> Column | None:
-        """The failing condition of one row, for the tests that look at single rows."""
-        cols = [F.col(c) for c in self.columns]
-        a = self.args
-        if self.kind == "not_null":
-            return cols[0].isNull()
-        if self.kind == "in_set":
-            return _outside(cols[0], a["values"])
-        if self.kind == "matches_regex":
-            return ~cols[0].rlike(a["regex"])
-        if self.kind == "accepted_range":
-            return _out_of_range(cols[0], a.get("low"), a.get("high"), a.get("inclusive", True))
-        if self.kind == "pair_greater":
-            return _not_greater(cols[0], cols[1], a.get("or_equal", False))
-        if self.kind == "expression":
-            return ~F.expr(a["sql_expr"])
-        return None
+    def row_condition(self) -> str | None:
+        """The failing condition of one row as SQL text, for the tests that look at single rows."""
+        condition = _ROW_CONDITIONS.get(self.kind)
+        return condition(*self.columns, **self.args) if condition else None
 
     def failing_rows(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         df, cols, a = tables[self.model], self.columns, dict(self.args)
@@ -129,25 +147,35 @@ class DataTest:
         return globals()[self.kind](df, *cols, **a, where=self.where)
 
 
-def _keys(test: DataTest) -> Column:
-    """The key a grouping or reference test counts, or null where the row does not take part."""
-    cols = [F.col(c) for c in test.columns]
-    takes_part = F.expr(test.where) if test.where else F.lit(True)
+_ROW_CONDITIONS = {
+    "not_null": lambda col: f"{_name(col)} IS NULL",
+    "in_set": _outside,
+    "matches_regex": _no_match,
+    "accepted_range": _out_of_range,
+    "pair_greater": _not_greater,
+    "expression": _untrue,
+}
+
+
+def _key(test: DataTest) -> str:
+    """SQL of the key a grouping or reference test counts; null where the row does not take part."""
+    takes_part = [f"({test.where})"] if test.where else []
     if test.kind == "accepted_values":
-        takes_part = takes_part & _outside(cols[0], test.args["values"])
+        takes_part.append(_outside(test.columns[0], test.args["values"]))
     elif test.kind != "unique_combination":
-        takes_part = takes_part & cols[0].isNotNull()
-    return F.when(takes_part, F.array(*[c.cast("string") for c in cols]))
+        takes_part.append(f"{_name(test.columns[0])} IS NOT NULL")
+    key = "array(" + ", ".join(f"CAST({_name(c)} AS STRING)" for c in test.columns) + ")"
+    return f"CASE WHEN {' AND '.join(takes_part) or 'TRUE'} THEN {key} END"
 
 
 def _key_counts(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]) -> DataFrame:
     """Rows per (test, key) over all models: one scan per model and one shuffle, combined map-side."""
     keyed = []
     for model in dict.fromkeys(t.model for t in tests.values()):
-        pairs = [
-            F.struct(F.lit(i).alias("test_no"), _keys(t).alias("key")) for i, t in tests.items() if t.model == model
-        ]
-        keyed.append(tables[model].select(F.inline(F.array(*pairs))).filter(F.col("key").isNotNull()))
+        pairs = ", ".join(
+            f"named_struct('test_no', {i}, 'key', {_key(t)})" for i, t in tests.items() if t.model == model
+        )
+        keyed.append(tables[model].selectExpr(f"inline(array({pairs}))").filter("key IS NOT NULL"))
     together = reduce(DataFrame.unionByName, keyed)
     return together.groupBy("test_no", "key").agg(F.count(F.lit(1)).alias("n"))
 
@@ -158,9 +186,9 @@ def _parent_keys(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest])
     for i, t in tests.items():
         parents.setdefault((t.args["to"], t.args["field"]), []).append(i)
     keys = [
-        tables[table].select(
-            F.explode(F.array(*[F.lit(i) for i in numbers])).alias("test_no"),
-            F.array(F.col(field_name).cast("string")).alias("key"),
+        tables[table].selectExpr(
+            f"explode(array({', '.join(map(str, numbers))})) AS test_no",
+            f"array(CAST({_name(field_name)} AS STRING)) AS key",
         )
         for (table, field_name), numbers in parents.items()
     ]
@@ -173,11 +201,10 @@ def _row_failures(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]
     for model in dict.fromkeys(t.model for t in tests.values()):
         mine = {i: t for i, t in tests.items() if t.model == model}
         failures = [
-            F.count_if((F.expr(t.where) if t.where else F.lit(True)) & t.row_predicate()).alias(str(i))
-            for i, t in mine.items()
+            F.expr(f"count_if(({t.where or 'TRUE'}) AND ({t.row_condition()})) AS `{i}`") for i, t in mine.items()
         ]
-        pairs = [F.struct(F.lit(i).alias("test_no"), F.col(str(i)).alias("failures")) for i in mine]
-        counts.append(tables[model].agg(*failures).select(F.inline(F.array(*pairs))))
+        pairs = ", ".join(f"named_struct('test_no', {i}, 'failures', `{i}`)" for i in mine)
+        counts.append(tables[model].agg(*failures).selectExpr(f"inline(array({pairs}))"))
     return counts
 
 
@@ -189,7 +216,7 @@ def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> Dat
     hot key is one row there. Pass stored tables.
     """
     numbered = dict(enumerate(suite))
-    rowwise = {i: t for i, t in numbered.items() if t.row_predicate() is not None}
+    rowwise = {i: t for i, t in numbered.items() if t.row_condition() is not None}
     counting = {i: t for i, t in numbered.items() if i not in rowwise}
     references = {i: t for i, t in counting.items() if t.kind == "relationships"}
     repeats = [i for i, t in counting.items() if t.kind in ("unique", "unique_combination")]

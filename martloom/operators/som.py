@@ -27,7 +27,7 @@ def _check_size(units: int, width: int) -> None:
 
 
 def _as_doubles(cols: Sequence[str]):
-    return [F.col(c).cast("double").alias(c) for c in cols]
+    return [F.expr(f"CAST(`{c}` AS DOUBLE) AS `{c}`") for c in cols]
 
 
 def initial_weights(df: DataFrame, cols: Sequence[str], id_col: str, units: int, seed: int) -> np.ndarray:
@@ -73,7 +73,7 @@ def _epoch_sums(data: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.nd
     merged = (
         data.mapInPandas(partials, schema)
         .groupBy("unit")
-        .agg(F.sum("n").alias("n"), *[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in sum_cols])
+        .agg(F.sum("n").alias("n"), *[F.expr(f"sum(CAST({c} AS DECIMAL(38,0))) AS {c}") for c in sum_cols])
         .collect()
     )
     sums, counts = np.zeros((units, width)), np.zeros(units)
@@ -208,4 +208,4 @@ def component_planes(neurons: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def neuron_columns(neurons: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Units with one column per feature."""
-    return neurons.select("i", "j", *[F.col("w")[d].alias(c) for d, c in enumerate(cols)])
+    return neurons.selectExpr("i", "j", *[f"w[{d}] AS `{c}`" for d, c in enumerate(cols)])

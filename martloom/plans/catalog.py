@@ -160,7 +160,7 @@ class Lake:
 
     @cached_property
     def assigned(self) -> DataFrame:
-        return som.som_assign(self.scaled, FEATURES, CUSTOMER, self.neurons)
+        return materialize(som.som_assign(self.scaled, FEATURES, CUSTOMER, self.neurons), "assigned")
 
     @cached_property
     def segments(self) -> DataFrame:
@@ -171,7 +171,8 @@ class Lake:
 
     @cached_property
     def labelled(self) -> DataFrame:
-        return self.scaled.join(self.segments.select(CUSTOMER, "segment_id"), CUSTOMER)
+        labelled = self.scaled.join(self.segments.select(CUSTOMER, "segment_id"), CUSTOMER)
+        return materialize(labelled, "labelled")
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -191,7 +192,7 @@ def one_row(*single: DataFrame) -> DataFrame:
 
 def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
     """Round float columns for the comparison with another engine."""
-    return df.withColumns({c: F.round(c, digits) for c in cols})
+    return df.selectExpr(*[f"round({c}, {digits}) AS {c}" if c in cols else c for c in df.columns])
 
 
 def register(name: str, oracle: str | None = None):
