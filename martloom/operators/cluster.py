@@ -175,7 +175,7 @@ def silhouette_exact(
     Without ``sample`` every row is scored against every other. Equal rows of a cluster are first
     merged into one with a count; the distinct rows are spread over tiles by hash, and each pair
     of tiles is one bounded group that returns sums per row and cluster, not pairs. The work is
-    quadratic in the distinct rows. With ``sample`` that many rows, drawn by seeded hash, are each
+    quadratic in the distinct rows. With ``sample`` that many rows, drawn at random, are each
     scored exactly against all rows in one linear pass; the result is the mean over them.
     """
     if sample is not None:
@@ -229,8 +229,8 @@ def _silhouette_sampled(df: DataFrame, cols: Sequence[str], label: str, sample:
     points = _points(df, cols, label)
     sizes = points.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     labels = sorted(r["label"] for r in sizes.select("label").collect())
-    order = F.xxhash64(F.lit(seed), "v", "label")
-    chosen = points.orderBy(order, "v", "label").limit(sample).collect()
+    # Drawn row by row, not by value: equal rows must not be drawn together.
+    chosen = points.orderBy(F.rand(seed)).limit(sample).collect()
     queries = np.array([r["v"] for r in chosen])
     own = np.array([r["label"] for r in chosen])
     shared = df.sparkSession.sparkContext.broadcast((queries, own, np.array(labels)))
