@@ -24,6 +24,8 @@ SENSITIVITY = 1.0
 DEFAULT_K = 3
 SEED = 42
 
+ROWS_PER_PARTITION = 100_000
+
 # Exact silhouette: rows per tile. A pair of tiles is one group and holds this many rows twice.
 TILE_ROWS = 4096
 # Scored rows travel to every task in the sampled silhouette.
@@ -49,7 +51,9 @@ def kmeans_sweep(
     df: DataFrame, cols: Sequence[str], ks: Sequence[int] = K_RANGE, seed: int = SEED, parallelism: int = 4
 ) -> DataFrame:
     """Inertia for each k. The frame is computed once for all fits, a few of which run at a time."""
-    kept = df.select(*cols).persist()
+    rows = df.select(*cols)
+    # A small table, such as the units of a map, is kept in few partitions: each iteration is a job.
+    kept = rows.coalesce(max(1, math.ceil(rows.count() / ROWS_PER_PARTITION))).persist()
 
     def cost(k: int) -> tuple[int, float]:
         return k, float(kmeans_fit(kept, cols, k, seed)[0].summary.trainingCost)

@@ -26,6 +26,15 @@ def _first_versions(cur: DataFrame, key: str, moment: Column) -> DataFrame:
     )
 
 
+def _meeting_point(key: str, side: str) -> tuple[Column, Column]:
+    """Join columns: the key itself, and a second one that keeps null keys apart and spreads them.
+
+    Without it all rows lacking a key would hash to one task.
+    """
+    apart = F.concat(F.lit(side), F.monotonically_increasing_id().cast("string"))
+    return F.col(key).alias("_key"), F.when(F.col(key).isNull(), apart).otherwise("").alias("_spread")
+
+
 def _merge(prev: DataFrame, fresh: DataFrame, key: str, changed: Column, closed_at: Column) -> DataFrame:
     """One shuffle on the key: each pair of open version ``o`` and fresh version ``n`` gives one or two rows.
 
@@ -33,9 +42,10 @@ def _merge(prev: DataFrame, fresh: DataFrame, key: str, changed: Column, closed_
     the open version gets, or null to leave it open. Closed history passes by untouched.
     """
     names = fresh.columns
-    open_rows = prev.filter(F.col(VALID_TO).isNull()).select(F.struct(*names).alias("o"))
-    new_rows = fresh.select(F.struct(*names).alias("n"))
-    pairs = open_rows.join(new_rows, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
+    open_rows = prev.filter(F.col(VALID_TO).isNull())
+    old_side = open_rows.select(F.struct(*names).alias("o"), *_meeting_point(key, "o"))
+    new_side = fresh.select(F.struct(*names).alias("n"), *_meeting_point(key, "n"))
+    pairs = old_side.join(new_side, ["_key", "_spread"], "full_outer")
 
     end = closed_at.cast(prev.schema[VALID_TO].dataType)
     kept = F.when(F.col("o").isNotNull(), F.col("o").withField(VALID_TO, end))

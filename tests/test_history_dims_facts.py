@@ -29,6 +29,13 @@ def test_timestamp_history(spark):
     assert sorted(r.id for r in scd2.current_rows(third).collect()) == ["a", "b", "c"]
 
 
+def test_rows_without_a_key_never_meet(spark):
+    first = scd2.snapshot_timestamp(None, _people(spark, [(None, "x", T1), (None, "y", T1)]), "id", "load_timestamp")
+    second = scd2.snapshot_timestamp(first, _people(spark, [(None, "z", T2), ("a", "w", T2)]), "id", "load_timestamp")
+    got = sorted((r.id or "", r.city, r.dbt_valid_to is None) for r in second.collect())
+    assert got == [("", "x", True), ("", "y", True), ("", "z", True), ("a", "w", True)]
+
+
 def _places(spark, rows):
     return spark.createDataFrame(rows, "geo_key string, latitude double")
 
