@@ -23,7 +23,8 @@ SECONDS: dict[str, float] = {}
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
-        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+        files = path / "*.parquet" if path.is_dir() else path
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
