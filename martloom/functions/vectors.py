@@ -12,7 +12,8 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ROWS_PER_BLOCK = 1024
+# A block of distances to a few thousand units then stays in the processor's cache.
+ROWS_PER_BLOCK = 256
 # Sums of coordinates are kept as integers of this unit (2^-24), so they do not depend on the order of rows.
 UNIT = float(1 << 24)
 
@@ -26,12 +27,11 @@ def squared_distances(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return total
 
 
-def _first_minimum(approx: np.ndarray, x: np.ndarray, w: np.ndarray, excluded: np.ndarray | None) -> np.ndarray:
-    """Index of the first exact minimum per row, given distances that carry rounding errors."""
-    best = approx.argmin(axis=1)
-    low = approx[np.arange(len(x)), best]
-    slack = 1e-9 * (1.0 + (x * x).sum(axis=1) + (w * w).sum(axis=1).max())
-    close = (approx <= (low + slack)[:, None]).sum(axis=1) > 1
+def _first_minimum(scores: np.ndarray, slack: np.ndarray, x: np.ndarray, w: np.ndarray, excluded) -> np.ndarray:
+    """Index of the first exact minimum per row, given distances that carry errors up to ``slack``."""
+    best = scores.argmin(axis=1)
+    limit = scores[np.arange(len(x)), best] + slack
+    close = np.count_nonzero(scores <= limit[:, None], axis=1) > 1
     if close.any():
         exact = squared_distances(x[close], w)
         if excluded is not None:
@@ -43,15 +43,18 @@ def _first_minimum(approx: np.ndarray, x: np.ndarray, w: np.ndarray, excluded: n
 def nearest(x: np.ndarray, w: np.ndarray, second: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
     """Nearest and second nearest row of ``w`` for each row of ``x``, the first one on a tie.
 
-    One matrix product gives distances up to rounding; only rows with more than one candidate
-    within the rounding error are measured again.
+    One matrix product gives distances up to rounding, less the row's own square; only rows with
+    more than one candidate within the rounding error are measured again.
     """
-    approx = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ w.T) + (w * w).sum(axis=1)[None, :]
-    best = _first_minimum(approx, x, w, None)
+    squares = (w * w).sum(axis=1)
+    scores = x @ (-2.0 * w.T)
+    scores += squares
+    slack = 1e-9 * (1.0 + (x * x).sum(axis=1) + squares.max())
+    best = _first_minimum(scores, slack, x, w, None)
     if not second:
         return best, None
-    approx[np.arange(len(x)), best] = np.inf
-    return best, _first_minimum(approx, x, w, best)
+    scores[np.arange(len(x)), best] = np.inf
+    return best, _first_minimum(scores, slack, x, w, best)
 
 
 def blocks(x: np.ndarray):

@@ -629,7 +629,7 @@ def _(lake: Lake) -> DataFrame:
 
 @register("rfm", "SELECT * FROM rfm")
 def _(lake: Lake) -> DataFrame:
-    return features.rfm(lake.details)
+    return features.rfm(lake.details, lake.facts["fact_orders"])
 
 
 @register("order_features", f"SELECT * REPLACE ({r6('avg_order_value')} AS avg_order_value) FROM order_feats")
