@@ -27,7 +27,7 @@ SEED = 42
 ROWS_PER_PARTITION = 100_000
 
 # Exact silhouette: rows per tile. A pair of tiles is one group and holds this many rows twice.
-TILE_ROWS = 4096
+TILE_ROWS = 16_384
 # Scored rows travel to every task in the sampled silhouette.
 MAX_SAMPLE = 20_000
 
@@ -75,14 +75,13 @@ def elbow_k(sweep: DataFrame, sensitivity: float = SENSITIVITY, default: int = D
     first point whose successor falls below the threshold makes the last maximum the elbow.
     The windows run over one row per k.
     """
-    span = sweep.agg(
-        F.min("k").alias("k0"), F.max("k").alias("k1"), F.min("sse").alias("s0"), F.max("sse").alias("s1"),
-        F.count(F.lit(1)).alias("n"),
-    ).select(F.struct("*").alias("s"))
-    s = span.scalar()
-    x = (F.col("k") - s["k0"]) / F.nullif(s["k1"] - s["k0"], F.lit(0))
-    y = (s["s1"] - F.col("sse")) / F.nullif(s["s1"] - s["s0"], F.lit(0.0))
-    step = 1.0 / (s["n"] - 1)
+    every = Window.partitionBy()
+    k, sse = F.col("k"), F.col("sse")
+    k0, k1 = F.min(k).over(every), F.max(k).over(every)
+    low, high = F.min(sse).over(every), F.max(sse).over(every)
+    x = (k - k0) / F.nullif(k1 - k0, F.lit(0))
+    y = (high - sse) / F.nullif(high - low, F.lit(0.0))
+    step = 1.0 / (F.count(k).over(every) - 1)
     by_k = Window.orderBy("k")
     so_far = by_k.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 

@@ -183,6 +183,11 @@ class Lake:
             som.topographic_error(self.assigned),
         )
 
+    @cached_property
+    def verdict(self) -> DataFrame:
+        """An accepted model."""
+        return materialize(publish.validate_model(self.metrics, OPEN_LIMITS), "verdict")
+
 
 def one_row(*single: DataFrame) -> DataFrame:
     """Several one-row, one-column frames side by side, as subqueries."""
@@ -816,8 +821,7 @@ def _(lake: Lake) -> DataFrame:
 
 @register("publish_segmented", f"SELECT customer_unique_id, {_ROUNDED}, segment_id FROM segments")
 def _(lake: Lake) -> DataFrame:
-    verdict = publish.validate_model(lake.metrics, OPEN_LIMITS)
-    return rounded(publish.publish_segmented(lake.segments, verdict), *FEATURES)
+    return rounded(publish.publish_segmented(lake.segments, lake.verdict), *FEATURES)
 
 
 @register(
@@ -833,8 +837,7 @@ def _(lake: Lake) -> DataFrame:
 def _(lake: Lake) -> DataFrame:
     centroids = lake.labelled.groupBy("segment_id").agg(F.array(*[F.avg(c) for c in FEATURES]).alias("centroid"))
     two_names = {k: v for k, v in publish.SEGMENT_NAMES.items() if k < 2}
-    verdict = publish.validate_model(lake.metrics, OPEN_LIMITS)
-    return publish.dim_segment(centroids, verdict, two_names, NOW)
+    return publish.dim_segment(centroids, lake.verdict, two_names, NOW)
 
 
 @register(
