@@ -17,6 +17,20 @@ def sunday_week(c: Column) -> Column:
     return F.floor((F.dayofyear(c) - F.dayofweek(c) + 7) / 7).cast("int")
 
 
+def _field(name: str, span: Column) -> Column:
+    return F.extract(F.lit(name), span).cast("long")
+
+
+def whole_days(start: Column, end: Column) -> Column:
+    """Full days from one moment to a later one, whatever the session's time zone."""
+    return _field("DAY", end - start)
+
+
+def whole_hours(start: Column, end: Column) -> Column:
+    """Full hours between two moments, toward zero, whatever the session's time zone."""
+    return _field("DAY", end - start) * 24 + _field("HOUR", end - start)
+
+
 def parse_like(text: Column, fmt: str, kind: T.DataType) -> Column:
     """Strictly parse text to the same kind of timestamp as ``kind``."""
     parse = F.to_timestamp_ntz if isinstance(kind, T.TimestampNTZType) else F.to_timestamp

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.functions.dates import date_id
+from martloom.functions.dates import date_id, whole_hours
 from martloom.functions.numbers import rate
 
 # States in which revenue counts, and the review scores that are good and bad.
@@ -153,7 +153,7 @@ def fact_reviews(stg_reviews: DataFrame, stg_orders: DataFrame) -> DataFrame:
         date_id(created).alias("review_creation_date_id"),
         answered.alias("review_answer_date"),
         date_id(answered).alias("review_answer_date_id"),
-        F.timestamp_diff("HOUR", created, answered).alias("response_time_hours"),
+        whole_hours(created, answered).alias("response_time_hours"),
         _flag(F.col("review_score") >= POSITIVE_FROM).alias("is_positive_review"),
         _flag(F.col("review_score") <= NEGATIVE_TO).alias("is_negative_review"),
         "load_timestamp",

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.dates import whole_days
 from martloom.functions.numbers import MONEY, exact_mean, exact_sum
 
 CUSTOMER = "customer_unique_id"
@@ -51,10 +52,6 @@ def reference_day(orders: DataFrame) -> Column:
     return orders.agg((F.max("order_purchase_date") + F.expr("INTERVAL 1 DAY")).alias("day")).scalar()
 
 
-def _whole_days(last: Column, until: Column) -> Column:
-    return F.timestamp_diff("DAY", last, until)
-
-
 def rfm(details: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Recency in whole days, number of distinct orders, and money spent.
 
@@ -70,7 +67,7 @@ def rfm(details: DataFrame, orders: DataFrame | None = None) -> DataFrame:
             F.coalesce(exact_sum(F.col("price")), F.lit(0.0)).alias("Monetary"),
         )
     )
-    recency = _whole_days(F.col("last_purchase"), reference_day(details if orders is None else orders))
+    recency = whole_days(F.col("last_purchase"), reference_day(details if orders is None else orders))
     return per_person.select(CUSTOMER, recency.alias("Recency"), "Frequency", "Monetary")
 
 
@@ -198,7 +195,7 @@ def customer_features(marts: Mapping[str, DataFrame], by_zip: bool = False) -> D
         )
     )
     # Persons without an order have no recency, whatever the reference day is.
-    recency = _whole_days(F.col("last_purchase"), reference_day(orders))
+    recency = whole_days(F.col("last_purchase"), reference_day(orders))
     measured = activity.join(bought, CUSTOMER, "left").select(
         CUSTOMER,
         recency.alias("Recency"),

@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from martloom.functions.dates import date_id, gregorian_easter, parity_easter, sunday_week
+from martloom.functions.dates import date_id, gregorian_easter, parity_easter, sunday_week, whole_days, whole_hours
 from martloom.functions.numbers import exact_sum, rate
 from martloom.operators import dims, facts, scd2
 
@@ -98,6 +98,17 @@ def test_week_and_id(spark):
         assert r.w == int(r.d.strftime("%U")) and r.i == int(r.d.strftime("%Y%m%d"))
 
 
+def test_spans_ignore_the_session_zone(spark):
+    rows = [("2018-11-03 23:30:00", "2018-11-05 00:29:59"), ("2018-11-05 00:30:00", "2018-11-03 23:31:00"), (None, "2018-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "a string, b string").selectExpr("CAST(a AS TIMESTAMP_NTZ) a", "CAST(b AS TIMESTAMP_NTZ) b")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = df.select(whole_days(F.col("a"), F.col("b")).alias("d"), whole_hours(F.col("a"), F.col("b")).alias("h")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [tuple(r) for r in got] == [(1, 24), (-1, -24), (None, None)]
+
+
 def test_rate_rounds_half_cents_up(spark):
     rows = [(0.05, 2), (1.0, 3), (10.0, 0), (2.675, 1), (-0.05, 2), (None, 2), (100.01, 2)]
     df = spark.createDataFrame(rows, "v double, n int").select(rate(F.col("v"), F.col("n")).alias("r"))
