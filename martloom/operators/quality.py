@@ -164,7 +164,11 @@ def _key(test: DataTest) -> str:
         takes_part.append(_outside(test.columns[0], test.args["values"]))
     elif test.kind != "unique_combination":
         takes_part.append(f"{_name(test.columns[0])} IS NOT NULL")
-    key = "array(" + ", ".join(f"CAST({_name(c)} AS STRING)" for c in test.columns) + ")"
+    texts = [f"CAST({_name(c)} AS STRING)" for c in test.columns]
+    key = texts[0]
+    if len(texts) > 1:
+        # Each part goes with its length, so different combinations never give the same text.
+        key = "concat(" + ", ".join(f"coalesce(concat(length({t}), ':', {t}), 'null')" for t in texts) + ")"
     return f"CASE WHEN {' AND '.join(takes_part) or 'TRUE'} THEN {key} END"
 
 
@@ -188,7 +192,7 @@ def _parent_keys(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest])
     keys = [
         tables[table].selectExpr(
             f"explode(array({', '.join(map(str, numbers))})) AS test_no",
-            f"array(CAST({_name(field_name)} AS STRING)) AS key",
+            f"CAST({_name(field_name)} AS STRING) AS key",
         )
         for (table, field_name), numbers in parents.items()
     ]
