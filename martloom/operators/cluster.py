@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from martloom.functions import vectors
 from martloom.session import materialize
 
-# Range of k, sensitivity of the elbow, k where there is none, seed.
+# Range of k, sensitivity of the elbow, k where there is none, seed, end of training.
 K_RANGE = tuple(range(2, 11))
 SENSITIVITY = 1.0
 DEFAULT_K = 3
 SEED = 42
+MAX_ITERATIONS, TOLERANCE = 300, 1e-4
 
 ROWS_PER_PARTITION = 100_000
 
@@ -40,10 +41,25 @@ def _vector(cols: Sequence[str]) -> Column:
     return array_to_vector(_array(cols))
 
 
-def kmeans_fit(df: DataFrame, cols: Sequence[str], k: int, seed: int = SEED) -> tuple[KMeansModel, DataFrame]:
-    """Fit K-Means; the model's ``summary.trainingCost`` is the inertia. Labels are in ``label``."""
+def _mean_variance(df: DataFrame, cols: Sequence[str]) -> float:
+    total = " + ".join(f"var_pop(CAST(`{c}` AS DOUBLE))" for c in cols)
+    return (df.agg(F.expr(total).alias("v")).first()["v"] or 0.0) / len(cols)
+
+
+def kmeans_fit(
+    df: DataFrame, cols: Sequence[str], k: int, seed: int = SEED, variance: float | None = None
+) -> tuple[KMeansModel, DataFrame]:
+    """Fit K-Means; the model's ``summary.trainingCost`` is the inertia. Labels are in ``label``.
+
+    Training ends when the summed squared moves of the centres fall below ``TOLERANCE`` times the
+    mean variance of the features, which is measured unless given.
+    """
+    spread = _mean_variance(df, cols) if variance is None else variance
+    # Spark compares each centre's own move.
+    tolerance = math.sqrt(TOLERANCE * spread / k)
     prepared = df.withColumn("_features", _vector(cols))
-    model = KMeans(k=k, seed=seed, maxIter=100, featuresCol="_features", predictionCol="label").fit(prepared)
+    estimator = KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=tolerance, featuresCol="_features")
+    model = estimator.setPredictionCol("label").fit(prepared)
     return model, model.transform(prepared).drop("_features")
 
 
@@ -55,11 +71,12 @@ def kmeans_sweep(
     # A small table, such as the units of a map, is kept in few partitions: each iteration is a job.
     kept = rows.coalesce(max(1, math.ceil(rows.count() / ROWS_PER_PARTITION))).persist()
 
-    def cost(k: int) -> tuple[int, float]:
-        return k, float(kmeans_fit(kept, cols, k, seed)[0].summary.trainingCost)
-
     try:
-        kept.count()
+        variance = _mean_variance(kept, cols)
+
+        def cost(k: int) -> tuple[int, float]:
+            return k, float(kmeans_fit(kept, cols, k, seed, variance)[0].summary.trainingCost)
+
         with ThreadPoolExecutor(parallelism) as pool:
             costs = list(pool.map(inheritable_thread_target(df.sparkSession)(cost), ks))
     finally:
