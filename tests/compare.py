@@ -12,9 +12,10 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from martloom.plans.catalog import ORACLES, QUERIES  # noqa: E402
+import __spark_entry__ as driver  # noqa: E402
 from martloom.session import local_session  # noqa: E402
 
+QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 
 # Time of the Spark side alone.
 SECONDS: dict[str, float] = {}
