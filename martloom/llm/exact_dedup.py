@@ -29,7 +29,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     * An empty table gives an empty result.
 
     The digits of a hot group are counted before the shuffle. The groups of a round are stored, so the join
-    that hands them to the rows has a plain scan on either side and adaptive execution can split a hot group.
+    that hands them to the rows has a plain scan on either side and adaptive execution can split a hot group. It
+    is a merge join at every size: the table of groups has no bound that would allow to broadcast it.
     """
     passed = [c for c in bare(docs, *MADE) if c not in (id_col, text_col)]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -53,7 +54,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         still_open = F.col("n").isNotNull() & ~F.col("ended")
         rows = materialize(
-            keyed.join(groups, ["place", "digit", "ended"], "left").select(
+            keyed.join(groups.hint("merge"), ["place", "digit", "ended"], "left").select(
                 "row", "id", "n", "keep_id", "ended", F.col("next_place").alias("place"),
                 F.monotonically_increasing_id().alias("uid"),
                 "text" if keep_text else F.when(still_open, F.col("text")).alias("text"),
