@@ -16,11 +16,12 @@ from collections.abc import Callable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from martloom.llm.common import bare, col
+from martloom.llm.common import bare, col, map_batches
 
 # Fixed value: how byte-level vocabularies cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -180,11 +181,15 @@ class Encoder:
         return b"".join(out)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with a bounded number of bytes in ``column``; one row alone may exceed it."""
+def slices(batch: pa.RecordBatch, column: str, unit: int = 1) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with a bounded number of bytes in ``column``; one row alone may exceed it.
+
+    ``unit`` is the size of an element, for a column of lists.
+    """
+    values = batch.column(column)
+    lengths = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
     start = size = 0
-    for i, value in enumerate(batch.column(column)):
-        here = len(value) if value.is_valid else 0
+    for i, here in enumerate((lengths.fill_null(0).to_numpy() * unit).tolist()):
         if i > start and size + here > BYTES_AT_ONCE:
             yield batch.slice(start, i - start)
             start, size = i, 0
@@ -206,16 +211,16 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     frame = docs.select(*map(col, passed), col(text_col).cast("binary").alias(" text"))
     schema = T.StructType([*docs.select(*map(col, passed)).schema, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         encoder = Encoder(Vocabulary(content))
         for batch in batches:
             for part in slices(batch, " text"):
                 ids = [encoder.text((t or b"").decode("utf-8", "replace")) for t in part.column(" text").to_pylist()]
                 ends = np.cumsum([0, *map(len, ids)]) // 4
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=[*passed, ids_col])
+                yield [*part.columns[:-1], lists]
 
-    return frame.mapInArrow(run, schema)
+    return map_batches(frame, run, schema)
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -243,15 +248,15 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str =
         places = np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])
         return run_of_bytes[places].tobytes().decode("utf-8", "replace")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
-            for part in slices(batch, " ids"):
+            for part in slices(batch, " ids", 4):
                 texts = []
                 for value in part.column(" ids"):
                     if not value.is_valid:
                         texts.append(None)
                     else:
                         texts.append(text(value.values.fill_null(-1).to_numpy(zero_copy_only=False)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())], names=[*passed, text_col])
+                yield [*part.columns[:-1], pa.array(texts, pa.string())]
 
-    return frame.mapInArrow(run, schema)
+    return map_batches(frame, run, schema)

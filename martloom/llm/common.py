@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.session import materialize, scratch_path
 
-__all__ = ["bare", "col", "materialize", "read", "scratch_path", "WORD"]
+__all__ = ["bare", "col", "map_batches", "materialize", "read", "scratch_path", "WORD"]
 
 # A word: a run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,3 +30,18 @@ def bare(df: DataFrame, *made: str) -> list[str]:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def map_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[list]], schema: T.StructType
+) -> DataFrame:
+    """``df.mapInArrow``, but columns may have any names and ``run`` yields bare lists of arrays."""
+    names, made = list(df.columns), list(schema.names)
+    safe = [f"c{i}" for i in range(len(made))]
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for arrays in run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches):
+            yield pa.RecordBatch.from_arrays(arrays, names=safe)
+
+    out = T.StructType([T.StructField(s, f.dataType, f.nullable) for s, f in zip(safe, schema, strict=True)])
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(go, out).toDF(*made)

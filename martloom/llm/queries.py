@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import exact_dedup, mixing
-from martloom.llm.common import read
+from martloom.llm import bpe, exact_dedup, mixing, token_files
+from martloom.llm.common import read, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,9 +56,38 @@ FROM documents JOIN g ON coalesce(text, '') = t
 """
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = scratch_path(spark, "token-files")
+    index = token_files.write_sequences(docs, out, vocabulary("word_bpe_49k.json"))
+    ids = token_files.read_sequences(index, out)
+    return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = vocabulary("byte_bpe_50k.json")
+    encoded = bpe.encode(docs, path).select("doc_id", "ids")
+    decoded = bpe.decode(encoded, path)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
+    "op3_token_files": op3_token_files,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLES: dict[str, str] = {
