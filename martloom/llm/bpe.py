@@ -16,21 +16,19 @@ from collections.abc import Callable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from martloom.llm.common import bare, col, map_batches
+from martloom.llm.common import bare, col, map_batches, slices
 
 # Fixed value: how byte-level vocabularies cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Fixed value: the white space of Unicode. No piece runs on from a character outside it to one inside it, so a run
 # of white space with what follows it can be encoded, and remembered, on its own.
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Runs and pieces a task remembers, and bytes of text it encodes at a time.
+# Runs and pieces a task remembers.
 REMEMBERED = 300_000
-BYTES_AT_ONCE = 16 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -181,23 +179,6 @@ class Encoder:
         return b"".join(out)
 
 
-def slices(batch: pa.RecordBatch, column: str, unit: int = 1) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with a bounded number of bytes in ``column``; one row alone may exceed it.
-
-    ``unit`` is the size of an element, for a column of lists.
-    """
-    values = batch.column(column)
-    lengths = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
-    start = size = 0
-    for i, here in enumerate((lengths.fill_null(0).to_numpy() * unit).tolist()):
-        if i > start and size + here > BYTES_AT_ONCE:
-            yield batch.slice(start, i - start)
-            start, size = i, 0
-        size += here
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the token ids of each text, as the vocabulary file at path ``vocabulary`` encodes it.
 

@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.session import materialize, scratch_path
 
-__all__ = ["bare", "col", "map_batches", "materialize", "read", "scratch_path", "WORD"]
+__all__ = ["bare", "col", "map_batches", "materialize", "read", "scratch_path", "slices", "WORD"]
 
 # A word: a run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
+# Bytes of text that a task works on at a time.
+BYTES_AT_ONCE = 4 << 20
 
 
 def col(name: str) -> Column:
@@ -45,3 +48,20 @@ def map_batches(
 
     out = T.StructType([T.StructField(s, f.dataType, f.nullable) for s, f in zip(safe, schema, strict=True)])
     return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(go, out).toDF(*made)
+
+
+def slices(batch: pa.RecordBatch, column: str, unit: int = 1) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with a bounded number of bytes in ``column``; one row alone may exceed it.
+
+    ``unit`` is the size of an element, for a column of lists.
+    """
+    values = batch.column(column)
+    lengths = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    start = size = 0
+    for i, here in enumerate((lengths.fill_null(0).to_numpy() * unit).tolist()):
+        if i > start and size + here > BYTES_AT_ONCE:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += here
+    if start < batch.num_rows:
+        yield batch.slice(start)
