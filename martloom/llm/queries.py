@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, exact_dedup, mixing, token_files
+from martloom.llm import bpe, exact_dedup, mixing, near_dedup, token_files
 from martloom.llm.common import read, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ SELECT doc_id, size, source_size, target,
 """
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_groups(docs, words=3, percent=85, keep_text=False)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")
@@ -86,6 +91,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
+    "op4_near_dedup": op4_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
 }
