@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, exact_dedup, mixing, near_dedup, token_files
+from martloom.llm import bpe, exact_dedup, mixing, near_dedup, quality, token_files
 from martloom.llm.common import read, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,12 +88,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality.classify(docs, read(spark, sf_dir, "labels"), keep_text=False)
+
+
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {
