@@ -10,6 +10,9 @@ document starts.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +28,8 @@ from martloom.llm.files import AtomicFile, store
 SEQUENCE = 2048
 SEQUENCES_PER_BATCH = 256
 END = 2
-# Words a task remembers, and bytes of text it encodes at a time.
-REMEMBERED = 400_000
+# Runs, and parts of runs, that a task remembers, and bytes of text it encodes at a time.
+REMEMBERED = 300_000
 BYTES_AT_ONCE = 8 << 20
 FILE = "tokens-{:06d}.arrow"
 
@@ -105,29 +108,48 @@ class SequenceReader:
 
 
 class WordEncoder:
-    """Ids of texts by the tokenizers library, which is asked once for each distinct run of non-blanks.
+    """Ids of texts by the tokenizers library, which is asked once for each distinct part of a run of non-blanks.
 
-    Its model cuts texts at white space and normalises each character in its place, so the runs of a text
-    can be encoded one by one.
+    Its model cuts texts at white space and then into letters, digits and the rest, and normalises each
+    character in its place. So runs can be encoded one by one, and a run without apostrophes and marks of special
+    tokens in parts: if it is ASCII at each change of class, else before the punctuation at its end.
     """
 
+    CLASSES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+    TAIL = re.compile(rb"[.,;:!?%&*#$|]+$")
+
     def __init__(self, content: str, width: type):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.width = Tokenizer.from_str(content), width
+        self.tokenizer, self.kind = Tokenizer.from_str(content), "H" if width is np.uint16 else "I"
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
+        self.known_parts: dict[bytes, bytes] = {}
+
+    def _parts(self, run: bytes) -> list[bytes]:
+        if b"<" in run or b"'" in run:
+            return [run]
+        if run.isascii():
+            return self.CLASSES.findall(run.lower())
+        tail = self.TAIL.search(run)
+        # What stands before the tail must still end in a letter when the model has normalised it.
+        if tail and unicodedata.normalize("NFC", run[: tail.start()].decode("utf-8", "replace")).lower()[-1:].isalpha():
+            return [run[: tail.start()], tail.group()]
+        return [run]
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*words).difference(self.known))
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, self.width).tobytes()) for w, e in zip(new, encoded, strict=True))
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        runs = [t.split() for t in texts]
+        for memory in (self.known, self.known_parts):
+            if len(memory) > REMEMBERED:
+                memory.clear()
+        new = {r: self._parts(r) for r in set().union(*runs).difference(self.known)}
+        parts = list(set().union(*new.values()).difference(self.known_parts))
+        encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in parts], add_special_tokens=False)
+        self.known_parts.update((p, array(self.kind, e.ids).tobytes()) for p, e in zip(parts, encoded, strict=True))
+        self.known.update((r, b"".join(map(self.known_parts.__getitem__, p))) for r, p in new.items())
+        return [b"".join(map(self.known.__getitem__, r)) for r in runs]
 
 
 def _checked(content: str) -> type:

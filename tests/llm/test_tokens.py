@@ -62,6 +62,17 @@ def test_decode_foreign_ids(spark):
     assert [r.text for r in bpe.decode(df, BYTE_BPE).collect()] == ["ab", None, "", " �"]
 
 
+def test_word_encoder_equals_library_on_random_strings():
+    library = Tokenizer.from_file(WORD_BPE)
+    encoder = token_files.WordEncoder(open(WORD_BPE, encoding="utf-8").read(), np.uint16)
+    draw = random.Random(8)
+    parts = [*"abZEst'!_19 \n\t.,%&<>|", "'s", "'S", "\x1c", "\x01", "\x85", "\xa0", "é", "É", "ñ", "中", "́", "̱", "²", "İ", "Σ",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "😀", "‍", " ", "the", "Tion", "thinger", "ĳ", "ﬁ", "…", "—"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 20))) for _ in range(6000)]
+    for text, ids in zip(texts, encoder.batch([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, np.uint16).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_token_query(spark, sf_dir, documents):
     library = Tokenizer.from_file(WORD_BPE)
     rows = {r.doc_id: r for r in op3_token_files(spark, sf_dir).collect()}
