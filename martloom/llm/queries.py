@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, exact_dedup, mixing, near_dedup, quality, token_files
+from martloom.llm import ann, bpe, exact_dedup, mixing, near_dedup, quality, token_files
 from martloom.llm.common import read, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(docs, words=3, percent=85, keep_text=False)
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")
@@ -97,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
+    "op5_ann": op5_ann,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
