@@ -21,7 +21,7 @@ class AtomicFile:
         self.fs, self.path = store(uri)
         self.own = f"{self.path}.{attempt}.tmp"
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.sink = self.fs.open_output_stream(self.own)
+        self.sink = self.fs.open_output_stream(self.own, compression=None)
 
     def close(self) -> None:
         self.sink.close()
