@@ -29,17 +29,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter("a > b").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour, or only larger ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    counted = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counted.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """From undirected ``a, b`` (longs): ``node, component`` (its smallest node) for each node that is not the
-    smallest of its component. Alternates large and small stars until nothing changes; the rounds
+    smallest of its component. Alternates large and small stars until only stars are left; the rounds
     grow with the logarithm of the longest path."""
     current = materialize(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges"
     )
-    state = None
-    while True:
-        new = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if new == state:
-            return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        state = new
+    while not _stars(current):
         current = materialize(_star(materialize(_star(current, True), "cc-large"), False), "cc-edges")
+    return current.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -159,6 +159,8 @@ def _tiled(nodes: DataFrame, percent: int) -> DataFrame:
         sets = [np.frombuffer(s, np.uint64) for s in rows.shingles]
         return pd.DataFrame(tile_links(rows.node.to_numpy(), rows.part.to_numpy(), sets, percent), columns=["a", "b"])
 
+    # Without this the tiles of a cluster would stay in the task that the join brought the cluster to.
+    laid = laid.repartition("cluster", "i", "j")
     return laid.groupBy("cluster", "i", "j").applyInPandas(run, "a long, b long")
 
 
