@@ -50,7 +50,7 @@ def map_batches(
     return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(go, out).toDF(*made)
 
 
-def slices(batch: pa.RecordBatch, column: str, unit: int = 1) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, unit: int = 1, limit: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """Runs of rows with a bounded number of bytes in ``column``; one row alone may exceed it.
 
     ``unit`` is the size of an element, for a column of lists.
@@ -59,7 +59,7 @@ def slices(batch: pa.RecordBatch, column: str, unit: int = 1) -> Iterator[pa.Rec
     lengths = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
     start = size = 0
     for i, here in enumerate((lengths.fill_null(0).to_numpy() * unit).tolist()):
-        if i > start and size + here > BYTES_AT_ONCE:
+        if i > start and size + here > limit:
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += here

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, bpe, exact_dedup, mixing, near_dedup, quality, token_files, warc
+from martloom.llm import ann, bpe, exact_dedup, mixing, near_dedup, ngram_lm, quality, token_files, warc
 from martloom.llm.common import read, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"))
 
 
+def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")
@@ -119,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_near_dedup": op4_near_dedup,
     "op5_ann": op5_ann,
+    "op6_ngram_lm": op6_ngram_lm,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
