@@ -84,7 +84,7 @@ def _feature_counts(labelled: DataFrame, targets: list[str]) -> DataFrame:
                 found = [[-1, *features(t.decode("utf-8", "replace"))] for t in texts]
                 yield [part.column("id"), pa.array(leads, pa.int64()), pa.array(found, pa.list_(pa.int64())), *[part.column(t) for t in targets]]
 
-    frame = labelled.select("id", F.col("text").cast("binary").alias("text"), *[F.col(t).cast("long").alias(t) for t in targets])
+    frame = labelled.select("id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), *[F.col(t).cast("long").alias(t) for t in targets])
     seen = materialize(map_batches(frame, run, schema), "quality-labelled")
     single = seen.groupBy("lead").agg(F.min_by(F.struct("features", *targets), "id").alias("doc")).select("doc.*")
     counted = single.select(F.explode("features").alias("feature"), *targets).groupBy("feature")
@@ -93,37 +93,40 @@ def _feature_counts(labelled: DataFrame, targets: list[str]) -> DataFrame:
 
 def _weights(counts: DataFrame, target: str) -> dict[int, float]:
     """Features that make a document bad significantly more often, with their log ratios. Bounded by ``FEATURES``."""
-    whole = counts.filter("feature = -1").select(F.col("n").alias("all_n"), F.col(target).alias("all_bad"))
-    n, bad, share = F.col("n"), F.col(target), F.col("all_bad") / F.col("all_n")
+    whole = counts.filter("feature = -1").select("n", target).first()
+    if whole is None:
+        return {}
+    all_n, all_bad = whole
+    n, bad, share = F.col("n"), F.col(target), all_bad / all_n
     good = n - bad
-    ratio = F.log((bad + 0.5) / (F.col("all_bad") + 1)) - F.log((good + 0.5) / (F.col("all_n") - F.col("all_bad") + 1))
+    ratio = F.log((bad + 0.5) / (all_bad + 1)) - F.log((good + 0.5) / (all_n - all_bad + 1))
 
     def surprise(seen: Column, expected: Column) -> Column:
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
     # Likelihood ratio test, in standard errors.
     z = F.sqrt(F.greatest(F.lit(0.0), 2 * (surprise(bad, n * share) + surprise(good, n * (1 - share)))))
-    rated = counts.filter("feature <> -1").join(F.broadcast(whole)).select("feature", ratio.alias("weight"), z.alias("z"))  # one row
+    rated = counts.filter("feature <> -1").select("feature", ratio.alias("weight"), z.alias("z"))
     telling = rated.filter((F.col("z") >= SIGNIFICANT) & (F.col("weight") >= np.log(TELLING)))
     rows = telling.orderBy(F.desc("z"), "feature").limit(FEATURES).collect()
     return {r.feature: r.weight for r in rows}
 
 
-def _with_evidence(docs: DataFrame, text_col: str, weights: Mapping[str, dict[int, float]]) -> DataFrame:
-    """``docs`` with a column ``e0``, ``e1``, ... of evidence per target, behind a struct of its own columns."""
+def _with_evidence(docs: DataFrame, weights: Mapping[str, dict[int, float]], keep_text: bool) -> DataFrame:
+    """``docs``, whose last column is ``text``, with a column ``e0``, ``e1``, ... of evidence per target."""
     names = [f"e{i}" for i in range(len(weights))]
     tables = list(weights.values())
-    frame = docs.select("*", F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary").alias(" text"))
-    schema = T.StructType([*docs.schema, *[T.StructField(n, T.DoubleType()) for n in names]])
+    shown = docs.columns if keep_text else docs.columns[:-1]
+    schema = T.StructType([*docs.select(*shown).schema, *[T.StructField(n, T.DoubleType()) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
-            for part in slices(batch, " text"):
-                sets = [features(t.decode("utf-8", "replace")) for t in part.column(" text").to_pylist()]
+            for part in slices(batch, "text"):
+                sets = [features(t or "") for t in part.column("text").to_pylist()]
                 sums = [[min(EVIDENCE_LIMIT, sum(sorted(t[f] for f in s if f in t))) for s in sets] for t in tables]
-                yield [*part.columns[:-1], *[pa.array(s, pa.float64()) for s in sums]]
+                yield [*part.columns[: len(shown)], *[pa.array(s, pa.float64()) for s in sums]]
 
-    return map_batches(frame, run, schema)
+    return map_batches(docs, run, schema)
 
 
 def calibrated(evidence: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
@@ -148,8 +151,8 @@ def calibrated(evidence: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
     return float(theta[0]), float(theta[1])
 
 
-def _strength(groups: DataFrame, mean: Column, key: str) -> DataFrame:
-    """One row: how many documents the mean above is worth, by the moments of ``n, bad`` per group around ``mean``.
+def _strength(groups: DataFrame, mean: Column) -> float:
+    """How many documents the mean above is worth, by the moments of ``n, bad`` per group around ``mean``.
 
     Groups that differ no more than chance would have them give the upper limit.
     """
@@ -161,7 +164,7 @@ def _strength(groups: DataFrame, mean: Column, key: str) -> DataFrame:
     noise = F.try_divide(F.sum(n * mean * (1 - mean)), F.sum(n))
     low, high = STRENGTH
     found = F.greatest(F.lit(low), F.least(F.lit(high), F.try_divide(noise, F.greatest(between, F.lit(1e-12)))))
-    return groups.agg(F.coalesce(found, F.lit(high)).alias(key))
+    return groups.agg(F.coalesce(found, F.lit(high))).first()[0]
 
 
 def site_rates(events: DataFrame) -> DataFrame:
@@ -172,21 +175,18 @@ def site_rates(events: DataFrame) -> DataFrame:
     paths = materialize(
         events.groupBy("host", "path").agg(F.count("*").cast("double").alias("n"), F.sum("bad").alias("bad")), "quality-paths"
     )
-    base = paths.agg((F.sum("bad") / F.sum("n")).alias("base"), F.sum("n").alias("above_n"))
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    hosts = materialize(hosts.join(F.broadcast(base)), "quality-hosts")  # one row
-    strength = _strength(hosts, F.col("base"), "k")
-    hosts = hosts.join(F.broadcast(strength)).select(  # one row
-        F.col("host").alias("h"), "base", F.col("n").alias("above_n"),
-        ((F.col("bad") + F.col("k") * F.col("base")) / (F.col("n") + F.col("k"))).alias("host_rate"),
-    )
-    hosts = materialize(hosts, "quality-host-rates")
-    placed = materialize(paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h"), "quality-placed")
-    strength = _strength(placed, F.col("host_rate"), "k")
-    return placed.join(F.broadcast(strength)).select(  # one row
-        "host", "path", "base", "host_rate",
-        ((F.col("bad") + F.col("k") * F.col("host_rate")) / (F.col("n") + F.col("k"))).alias("rate"),
+    total = paths.agg(F.sum("bad"), F.sum("n")).first()
+    base = total[0] / total[1] if total[1] else 0.0
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("above_n", F.lit(float(total[1] or 0)))
+    hosts = materialize(hosts, "quality-hosts")
+    k = _strength(hosts, F.lit(base))
+    hosts = hosts.select(
+        F.col("host").alias("h"), F.col("n").alias("above_n"), ((F.col("bad") + k * base) / (F.col("n") + k)).alias("host_rate")
     )
+    placed = materialize(paths.join(materialize(hosts, "quality-rates"), F.col("host").eqNullSafe(F.col("h"))).drop("h"), "quality-placed")
+    k = _strength(placed, F.col("host_rate"))
+    rate = (F.col("bad") + k * F.col("host_rate")) / (F.col("n") + k)
+    return placed.select("host", "path", F.lit(base).alias("base"), "host_rate", rate.alias("rate"))
 
 
 def classify(
@@ -210,18 +210,18 @@ def classify(
     drawn = F.xxhash64("label_id", F.lit(10))
     chosen = known.withColumn("drawn", drawn).orderBy("drawn", "label_id").limit(sample)
     chosen = materialize(chosen, "quality-sample")
-    passed = [c for c in bare(docs, *names, "kept") if keep_text or c != text_col]
+    shown = [c for c in bare(docs, *names, "kept") if keep_text or c != text_col]
+    passed = [c for c in shown if c != text_col]
     base = docs.select(
         F.struct(F.lit(0).alias("_"), *[col(c).alias(f"c{i}") for i, c in enumerate(passed)]).alias("row"),
         col(id_col).alias("id"), col(host_col).cast("string").alias("host"), col(path_col).cast("string").alias("path"),
-        F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"),
+        col(text_col).cast("string").alias("text"),
     )
     # The sample has at most ``sample`` rows of a few numbers each.
     labelled = base.select("id", "text").join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
     half = F.pmod("drawn", F.lit(2)) == 0
     counts = materialize(_feature_counts(labelled.filter(half), marks), "quality-features")
-    evidence = _with_evidence(base, "text", {m: _weights(counts, m) for m in marks})
-    scored = materialize(evidence.drop("text"), "quality-scored")
+    scored = materialize(_with_evidence(base, {m: _weights(counts, m) for m in marks}, text_col in shown), "quality-scored")
     kinds = [f"e{i}" for i in range(len(names))]
     held = scored.select("id", *kinds).join(F.broadcast(chosen.filter(~half)), F.col("id") == F.col("label_id"))
     # Two numbers per target and row of the sample; an id that repeats in ``docs`` counts once.
@@ -243,7 +243,7 @@ def classify(
         # The evidence speaks relative to the corpus mean; the site's mean takes that mean's place.
         odds[names[i]] = alone + log_odds[f"r{i}"] - log_odds[f"b{i}"]
     result = result.select(
-        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(passed)],
+        *[F.col("text" if c == text_col else f"row.c{passed.index(c)}").alias(c) for c in shown],
         *[(1 / (1 + F.exp(-o))).alias(n) for n, o in odds.items()],
     )
     return result.withColumn("kept", F.greatest(*map(col, names), F.lit(0.0)) <= limit)

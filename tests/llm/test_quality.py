@@ -1,0 +1,61 @@
+"""The classifier on documents whose labels it has not seen, and its shrinking of sites."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.llm import quality
+
+
+def corpus(n, seed=1):
+    draw = random.Random(seed)
+    words = ["".join(draw.choices("aeioulmnrst", k=draw.randint(2, 9))) for _ in range(3000)]
+    for i in range(n):
+        text, low, toxic = draw.choices(words, k=draw.randint(5, 200)), draw.random() < 0.1, draw.random() < 0.1
+        if toxic:
+            text.insert(draw.randint(0, len(text)), draw.choice(["vile", "nasty,", "Vile!", "nastyness", "nastylike"]))
+        if low:
+            text = [w + "%%%" for w in text] if i % 2 else text[:3] * 20
+        yield i, " ".join(text), f"s{draw.randint(0, 9) if draw.random() < 0.7 else 0}", "en", int(not low), int(toxic)
+
+
+def test_held_out_accuracy(spark):
+    rows = list(corpus(2500))
+    docs = spark.createDataFrame([r[:4] for r in rows], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(r[0], r[4], r[5]) for r in rows if r[0] % 5], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality.classify(docs, labels).collect()}
+    unseen = [r for r in rows if r[0] % 5 == 0]
+    good = [kept[r[0]] for r in unseen if r[4] and not r[5]]
+    bad = [kept[r[0]] for r in unseen if not r[4] or r[5]]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.05
+
+
+def test_sites_shrink_toward_their_parents(spark):
+    draw = random.Random(3)
+    rows = [("big", "a", float(draw.random() < 0.5)) for _ in range(2000)] + [("big", "b", float(draw.random() < 0.1)) for _ in range(2000)]
+    rows += [(f"h{i}", "a", float(draw.random() < (0.02 if i % 2 else 0.3))) for i in range(40) for _ in range(50)]
+    rows += [("tiny", "a", 1.0), (None, None, 0.0)]
+    rates = {(r.host, r.path): r for r in quality.site_rates(spark.createDataFrame(rows, "host string, path string, bad double")).collect()}
+    base = np.mean([r[2] for r in rows])
+    assert rates["big", "a"].rate == pytest.approx(0.5, abs=0.05) and rates["big", "b"].rate == pytest.approx(0.1, abs=0.05)
+    tiny = rates["tiny", "a"]
+    assert tiny.base == pytest.approx(base) and base < tiny.host_rate < 0.5
+    assert rates[None, None].rate < base
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "a", "en"), (2, "", None, None), (3, "x " * 200_000, "a", None), (3, "y", "a", "en"), (None, "z", "b", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs = docs.selectExpr("*", "1 AS toxic", "2 AS `a.b`", "3 AS row", "4 AS kept", "5 AS id")
+    labels = spark.createDataFrame([(3, 1, 0), (3, 0, 0), (77, 1, 1), (None, 1, 1), (1, None, 0)], "doc_id long, quality int, toxic int")
+    out = quality.classify(docs, labels)
+    assert out.columns == ["doc_id", "text", "source", "lang", "a.b", "row", "id", "low_quality", "toxic", "kept"]
+    got = out.collect()
+    assert sorted(((r.doc_id or 0, r.text) for r in got), key=str) == sorted(((r[0] or 0, r[1]) for r in rows), key=str)
+    assert all(0 <= r.toxic <= 1 and 0 <= r.low_quality <= 1 and r.kept is not None for r in got)
+    assert quality.classify(docs, labels.limit(0)).filter(~F.col("kept")).count() == 0
+    assert quality.classify(docs.limit(0), labels).count() == 0
