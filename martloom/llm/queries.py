@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, bpe, exact_dedup, mixing, near_dedup, ngram_lm, quality, token_files, warc
+from martloom.llm import ann, bpe, exact_dedup, line_dedup, mixing, near_dedup, ngram_lm, quality, token_files, warc
 from martloom.llm.common import read, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op6_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.near_lines(docs).select("doc_id", "line_no", "line_class", "copies", "links", "kept")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")
@@ -124,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op4_near_dedup": op4_near_dedup,
     "op5_ann": op5_ann,
     "op6_ngram_lm": op6_ngram_lm,
+    "op7_line_dedup": op7_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
