@@ -31,10 +31,33 @@ def whole_hours(start: Column, end: Column) -> Column:
     return _field("DAY", end - start) * 24 + _field("HOUR", end - start)
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def instant_of_utc(c: Column) -> Column:
+    """The moment that a zone-less time names in UTC, whatever the session's time zone."""
+    since = c - F.lit(EPOCH).cast("timestamp_ntz")
+    seconds = (_field("DAY", since) * 24 + _field("HOUR", since)) * 3600 + _field("MINUTE", since) * 60
+    return F.timestamp_micros(seconds * 1_000_000 + (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("long"))
+
+
+def utc_of_instant(c: Column) -> Column:
+    """The zone-less UTC time of a moment, whatever the session's time zone."""
+    micros = F.unix_micros(c)
+    seconds = F.floor(micros / 1_000_000).cast("long")
+    rest = (micros - seconds * 1_000_000).cast("decimal(18,6)") / 1_000_000
+    span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (seconds.cast("decimal(18,6)") + rest).cast("decimal(18,6)"))
+    return F.lit(EPOCH).cast("timestamp_ntz") + span
+
+
+def as_kind(utc: Column, kind: T.DataType) -> Column:
+    """A zone-less UTC time as the given kind of timestamp."""
+    return utc if isinstance(kind, T.TimestampNTZType) else instant_of_utc(utc)
+
+
 def parse_like(text: Column, fmt: str, kind: T.DataType) -> Column:
-    """Strictly parse text to the same kind of timestamp as ``kind``."""
-    parse = F.to_timestamp_ntz if isinstance(kind, T.TimestampNTZType) else F.to_timestamp
-    return parse(text, F.lit(fmt)) if parse is F.to_timestamp_ntz else parse(text, fmt)
+    """Strictly parse text, which is UTC, to the same kind of timestamp as ``kind``."""
+    return as_kind(F.to_timestamp_ntz(text, F.lit(fmt)), kind)
 
 
 def timestamp_kind(df: DataFrame) -> T.DataType:

@@ -16,6 +16,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROWS_PER_BLOCK = 256
 # Sums of coordinates are kept as integers of this unit (2^-24), so they do not depend on the order of rows.
 UNIT = float(1 << 24)
+# A block of larger values could not be summed exactly, nor blocks of them without ever overflowing.
+EXACT_BELOW = float(1 << 21)
+# Blocks whose sums surely fit into 64 bits: 2^8 rows of 2^21 in units of 2^-24 are below 2^53.
+BLOCKS_PER_SUM = 1 << 9
 
 
 def squared_distances(x: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -64,6 +68,8 @@ def blocks(x: np.ndarray):
 
 def add_to_units(sums: np.ndarray, counts: np.ndarray, x: np.ndarray, best: np.ndarray) -> None:
     """Add each row, in integer units, to the sums of its nearest unit."""
+    if len(x) and not np.abs(x).max() < EXACT_BELOW:
+        raise OverflowError(f"a map takes finite values below {EXACT_BELOW:.0f}; scale the columns first")
     counts += np.bincount(best, minlength=len(counts))
     units = np.rint(x * UNIT)
     for d in range(x.shape[1]):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -25,12 +25,8 @@ DEFAULT_K = 3
 SEED = 42
 MAX_ITERATIONS, TOLERANCE = 300, 1e-4
 
-ROWS_PER_PARTITION = 100_000
-
 # Exact silhouette: rows per tile. A pair of tiles is one group and holds this many rows twice.
 TILE_ROWS = 16_384
-# Scored rows travel to every task in the sampled silhouette.
-MAX_SAMPLE = 20_000
 
 
 def _array(cols: Sequence[str]) -> Column:
@@ -67,20 +63,14 @@ def kmeans_sweep(
     df: DataFrame, cols: Sequence[str], ks: Sequence[int] = K_RANGE, seed: int = SEED, parallelism: int = 4
 ) -> DataFrame:
     """Inertia for each k. The frame is computed once for all fits, a few of which run at a time."""
-    rows = df.select(*cols)
-    # A small table, such as the units of a map, is kept in few partitions: each iteration is a job.
-    kept = rows.coalesce(max(1, math.ceil(rows.count() / ROWS_PER_PARTITION))).persist()
-
-    try:
-        variance = _mean_variance(kept, cols)
+    kept = materialize(df.select(*cols), "sweep-rows")
+    variance = _mean_variance(kept, cols)
 
-        def cost(k: int) -> tuple[int, float]:
-            return k, float(kmeans_fit(kept, cols, k, seed, variance)[0].summary.trainingCost)
+    def cost(k: int) -> tuple[int, float]:
+        return k, float(kmeans_fit(kept, cols, k, seed, variance)[0].summary.trainingCost)
 
-        with ThreadPoolExecutor(parallelism) as pool:
-            costs = list(pool.map(inheritable_thread_target(df.sparkSession)(cost), ks))
-    finally:
-        kept.unpersist()
+    with ThreadPoolExecutor(parallelism) as pool:
+        costs = list(pool.map(inheritable_thread_target(df.sparkSession)(cost), ks))
     return df.sparkSession.createDataFrame(costs, "k int, sse double")
 
 
@@ -160,7 +150,8 @@ def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     worst = F.array_max(
         F.transform(
             F.filter("all", lambda o: o["label"] != F.col("label")),
-            lambda o: (F.col("s") + o["s"]) / _distance(F.col("c"), o["c"]),
+            # Clusters with one and the same centroid do not count against each other.
+            lambda o: F.coalesce(F.try_divide(F.col("s") + o["s"], _distance(F.col("c"), o["c"])), F.lit(0.0)),
         )
     )
     score = spread.select(worst.alias("worst")).agg(F.avg("worst").alias("mean"))
@@ -187,19 +178,14 @@ def _silhouette_of_sums(sums: DataFrame, sizes: DataFrame) -> DataFrame:
     return scored.select(F.coalesce("mean", F.lit(-1.0)).alias("silhouette"))
 
 
-def silhouette_exact(
-    df: DataFrame, cols: Sequence[str], label: str, sample: int | None = None, seed: int = SEED
-) -> DataFrame:
+def silhouette_exact(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """Mean Euclidean silhouette; -1 below two clusters.
 
-    Without ``sample`` every row is scored against every other. Equal rows of a cluster are first
+    Every row is scored against every other. Equal rows of a cluster are first
     merged into one with a count; the distinct rows are spread over tiles by hash, and each pair
     of tiles is one bounded group that returns sums per row and cluster, not pairs. The work is
-    quadratic in the distinct rows. With ``sample`` that many rows, drawn at random, are each
-    scored exactly against all rows in one linear pass; the result is the mean over them.
+    quadratic in the distinct rows; for many millions of them use ``silhouette_squared``.
     """
-    if sample is not None:
-        return _silhouette_sampled(df, cols, label, sample, seed)
     points = _points(df, cols, label)
     merged = points.groupBy("label", "v").agg(F.count(F.lit(1)).alias("copies"))
     distinct = materialize(merged.withColumn("row", F.monotonically_increasing_id()), "silhouette-rows")
@@ -243,44 +229,6 @@ def silhouette_exact(
     return _silhouette_of_sums(totals, sizes)
 
 
-def _silhouette_sampled(df: DataFrame, cols: Sequence[str], label: str, sample: int, seed: int) -> DataFrame:
-    if not 0 < sample <= MAX_SAMPLE:
-        raise ValueError(f"sample must be between 1 and {MAX_SAMPLE}")
-    points = _points(df, cols, label)
-    sizes = points.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    labels = sorted(r["label"] for r in sizes.select("label").collect())
-    # Drawn row by row, not by value: equal rows must not be drawn together.
-    chosen = points.orderBy(F.rand(seed)).limit(sample).collect()
-    queries = np.array([r["v"] for r in chosen])
-    own = np.array([r["label"] for r in chosen])
-    shared = df.sparkSession.sparkContext.broadcast((queries, own, np.array(labels)))
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x, mine, names = shared.value
-        totals = np.zeros((len(x), len(names)))
-        for batch in batches:
-            for start in range(0, len(batch), vectors.ROWS_PER_BLOCK):
-                part = batch.iloc[start : start + vectors.ROWS_PER_BLOCK]
-                one_hot = (part["label"].to_numpy()[:, None] == names[None, :]).astype(float)
-                y = np.array(part["v"].tolist())
-                totals += vectors.label_distance_sums(x, y, np.ones(len(part)), one_hot)
-        yield pd.DataFrame(
-            {
-                "row": np.repeat(np.arange(len(x)), len(names)),
-                "own": np.repeat(mine, len(names)),
-                "copies": 1,
-                "other": np.tile(names, len(x)),
-                "total": totals.ravel(),
-            }
-        )
-
-    label_type = df.schema[label].dataType.simpleString()
-    schema = f"row long, own {label_type}, copies long, other {label_type}, total double"
-    sums = points.mapInPandas(partial, schema)
-    totals = sums.groupBy("row", "own", "copies", "other").agg(F.sum("total").alias("total"))
-    return _silhouette_of_sums(totals, sizes)
-
-
 def silhouette_squared(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """Silhouette on squared distances from cluster moments: linear, but another number than the exact one."""
     prepared = df.select(F.col(label).cast("double").alias("prediction"), _vector(cols).alias("features"))

@@ -147,8 +147,8 @@ def customer_features(marts: Mapping[str, DataFrame], by_zip: bool = False) -> D
     """Twelve features per person, 0 where there is nothing to measure.
 
     Gives what joining ``rfm`` ... ``product_features`` on the person gives, with fewer shuffles.
-    It relies on what the data tests assert: order ids are unique in ``fact_orders``, customer
-    and product ids in their dimensions, and every fact carries its order's customer id. So each
+    Customers without a person have zeros, as nothing is theirs; an order counts once however often it is
+    there. For the rest it relies on what the data tests assert: customer and product ids in their dimensions, and every fact carries its order's customer id. So each
     fact is first summed per customer id (map-side, which also flattens hot customers), these
     sums share the partitioning of ``dim_customer``, and one more shuffle brings them to the
     person. Only the distinct products need the items themselves.
@@ -159,7 +159,7 @@ def customer_features(marts: Mapping[str, DataFrame], by_zip: bool = False) -> D
     people = customers.select("customer_id", CUSTOMER)
 
     ordered = orders.groupBy("customer_id").agg(
-        F.max("order_purchase_date").alias("last_purchase"), F.count("order_id").alias("n_orders")
+        F.max("order_purchase_date").alias("last_purchase"), F.count_distinct("order_id").alias("n_orders")
     )
     paid = marts["fact_payments"].groupBy("customer_id").agg(
         F.sum(F.col("payment_value").cast(MONEY)).alias("paid"),
@@ -211,10 +211,14 @@ def customer_features(marts: Mapping[str, DataFrame], by_zip: bool = False) -> D
         F.col("avg_order_value").alias("avg_product_category_value"),
         "num_unique_products",
     )
-    filled = measured.selectExpr(CUSTOMER, *[f"coalesce(CAST({f} AS DOUBLE), 0D) AS {f}" for f in FEATURES])
+    filled = measured.selectExpr(
+        CUSTOMER, *[f"CASE WHEN {CUSTOMER} IS NULL THEN 0D ELSE coalesce(CAST({f} AS DOUBLE), 0D) END AS {f}" for f in FEATURES]
+    )
     if by_zip:
         places = customers.select(CUSTOMER, "zip_code_prefix").distinct()
-        return places.join(filled, CUSTOMER).drop("zip_code_prefix")
+        # The zip codes of the person that is missing are rows too.
+        filled = filled.withColumnRenamed(CUSTOMER, "_person")
+        return places.join(filled, F.col(CUSTOMER).eqNullSafe(F.col("_person"))).drop("zip_code_prefix", "_person")
     return filled
 
 

@@ -26,26 +26,30 @@ def _first_versions(cur: DataFrame, key: str, moment: Column) -> DataFrame:
     )
 
 
-def _meeting_point(key: str, side: str) -> tuple[Column, Column]:
-    """Join columns: the key itself, and a second one that keeps null keys apart and spreads them.
-
-    Without it all rows lacking a key would hash to one task.
-    """
-    apart = F.concat(F.lit(side), F.monotonically_increasing_id().cast("string"))
-    return F.col(key).alias("_key"), F.when(F.col(key).isNull(), apart).otherwise("").alias("_spread")
+def _refuse_repeated(cur: DataFrame, key: str) -> None:
+    """A batch with two rows of one key has no single newest version. Keys are counted map-side."""
+    repeated = cur.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").limit(3).collect()
+    if repeated:
+        raise ValueError(f"the batch repeats {key}: {', '.join(str(r[0]) for r in repeated)}")
 
 
 def _merge(prev: DataFrame, fresh: DataFrame, key: str, changed: Column, closed_at: Column) -> DataFrame:
     """One shuffle on the key: each pair of open version ``o`` and fresh version ``n`` gives one or two rows.
 
     ``changed`` says whether the fresh version replaces the open one; ``closed_at`` is the end
-    the open version gets, or null to leave it open. Closed history passes by untouched.
+    the open version gets, or null to leave it open. Closed history passes by untouched. A fresh
+    key is there once, so an open version meets at most one row and is given out once. Rows
+    without a key meet nothing and pass beside the join.
     """
     names = fresh.columns
     open_rows = prev.filter(F.col(VALID_TO).isNull())
-    old_side = open_rows.select(F.struct(*names).alias("o"), *_meeting_point(key, "o"))
-    new_side = fresh.select(F.struct(*names).alias("n"), *_meeting_point(key, "n"))
-    pairs = old_side.join(new_side, ["_key", "_spread"], "full_outer")
+    old_side = open_rows.select(F.struct(*names).alias("o"), F.col(key).alias("_key"))
+    new_side = fresh.select(F.struct(*names).alias("n"), F.col(key).alias("_key"))
+    pairs = old_side.filter("_key IS NOT NULL").join(new_side.filter("_key IS NOT NULL"), "_key", "full_outer").select("o", "n")
+    types = pairs.schema
+    none = {c: F.lit(None).cast(types[c].dataType).alias(c) for c in ("o", "n")}
+    pairs = pairs.union(old_side.filter("_key IS NULL").select("o", none["n"]))
+    pairs = pairs.union(new_side.filter("_key IS NULL").select(none["o"], "n"))
 
     end = closed_at.cast(prev.schema[VALID_TO].dataType)
     kept = F.when(F.col("o").isNotNull(), F.col("o").withField(VALID_TO, end))
@@ -60,6 +64,7 @@ def snapshot_timestamp(prev: DataFrame | None, cur: DataFrame, key: str, updated
 
     Keys that are missing from the batch stay open.
     """
+    _refuse_repeated(cur, key)
     fresh = _first_versions(cur, key, F.col(updated_at))
     if prev is None:
         return fresh
@@ -79,6 +84,7 @@ def snapshot_check(
 
     With ``invalidate_hard_deletes`` an open key that is missing from the batch is closed.
     """
+    _refuse_repeated(cur, key)
     fresh = _first_versions(cur, key, as_of)
     if prev is None:
         return fresh

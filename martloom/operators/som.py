@@ -60,14 +60,23 @@ def _epoch_sums(data: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.nd
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = shared.value
         sums, counts = np.zeros((units, width), dtype=np.int64), np.zeros(units, dtype=np.int64)
+        blocks = 0
+
+        def added() -> pd.DataFrame:
+            hit = np.flatnonzero(counts)
+            out = pd.DataFrame(sums[hit], columns=sum_cols)
+            out.insert(0, "n", counts[hit])
+            out.insert(0, "unit", hit)
+            return out
+
         for batch in batches:
             for x in vectors.blocks(batch.to_numpy(dtype=float)):
                 vectors.add_to_units(sums, counts, x, vectors.nearest(x, w)[0])
-        hit = np.flatnonzero(counts)
-        out = pd.DataFrame(sums[hit], columns=sum_cols)
-        out.insert(0, "n", counts[hit])
-        out.insert(0, "unit", hit)
-        yield out
+                blocks += 1
+                if blocks == vectors.BLOCKS_PER_SUM:  # before a sum can overflow
+                    yield added()
+                    sums[:], counts[:], blocks = 0, 0, 0
+        yield added()
 
     schema = "unit long, n long, " + ", ".join(f"{c} long" for c in sum_cols)
     merged = (
@@ -129,8 +138,8 @@ def som_fit(
 
 def som_assign(df: DataFrame, cols: Sequence[str], id_col: str, neurons: DataFrame) -> DataFrame:
     """Best and second best unit of each row; the first in row-major order on a tie."""
+    _check_size(neurons.count(), len(cols))
     units = neurons.orderBy("i", "j").collect()
-    _check_size(len(units), len(cols))
     if len(units) < 2:
         raise ValueError("a map needs two units at least")
     spark = df.sparkSession

@@ -18,14 +18,21 @@ from martloom.sources import tables
 
 @dataclass(frozen=True)
 class SegmentationConfig:
-    """Settings of one training run. ``silhouette_sample`` scores that many rows instead of all."""
+    """Settings of one training run.
+
+    ``silhouette`` names the figure the gate holds against its limit, for the two are different numbers: ``exact`` is the
+    mean Euclidean silhouette, quadratic in the distinct customers, with the limit of ``publish.LIMITS``; ``moments`` is the
+    one on squared distances, linear, with ``squared_limit``.
+    """
+
+    silhouette: str
+    squared_limit: float | None = None
 
     m: int = som.ROWS
     n: int = som.COLUMNS
     sigma: float = som.SIGMA
     epochs: int = som.EPOCHS
     seed: int = som.SEED
-    silhouette_sample: int | None = None
     gate: bool = True
     by_zip: bool = False
 
@@ -56,9 +63,8 @@ def order_clusters(model: KMeansModel, by: int) -> dict[int, int]:
 def metrics_row(labelled: DataFrame, assigned: DataFrame, config: SegmentationConfig) -> DataFrame:
     """The four figures the gate looks at, as one row."""
     errors = som.map_errors(assigned).select(F.struct("*").alias("e"))
-    silhouette = cluster.silhouette_exact(
-        labelled, FEATURES, "segment_id", sample=config.silhouette_sample, seed=config.seed
-    )
+    measure = cluster.silhouette_exact if config.silhouette == "exact" else cluster.silhouette_squared
+    silhouette = measure(labelled, FEATURES, "segment_id")
     bouldin = cluster.davies_bouldin(labelled, FEATURES, "segment_id")
     return labelled.sparkSession.range(1).select(
         silhouette.scalar().alias("silhouette"), bouldin.scalar().alias("davies_bouldin"), errors.scalar().alias("e")
@@ -67,8 +73,8 @@ def metrics_row(labelled: DataFrame, assigned: DataFrame, config: SegmentationCo
 
 def run_segmentation(
     marts: Mapping[str, DataFrame],
-    target: str | None = None,
-    config: SegmentationConfig = SegmentationConfig(),
+    target: str | None,
+    config: SegmentationConfig,
     now: datetime | None = None,
 ) -> Segmentation:
     """Train on the marts and, if the gate agrees, publish the segment tables below ``target``.
@@ -76,6 +82,13 @@ def run_segmentation(
     Customers stay distributed throughout; only the map's units and the cluster centres, both of
     fixed size, pass through the driver.
     """
+    if config.silhouette not in ("exact", "moments"):
+        raise ValueError(config.silhouette)
+    limits = publish.LIMITS if config.gate else {**dict.fromkeys(publish.LIMITS, float("inf")), "silhouette": -2.0}
+    if config.gate and config.silhouette == "moments":
+        if config.squared_limit is None:
+            raise ValueError("the silhouette on squared distances needs a limit of its own")
+        limits = {**limits, "silhouette": config.squared_limit}
     feats = materialize(features.customer_features(marts, config.by_zip), "features")
     scaled = materialize(features.standard_scale(feats, FEATURES, CUSTOMER)[0], "scaled")
     neurons = materialize(
@@ -97,7 +110,6 @@ def run_segmentation(
     labelled = materialize(
         scaled.join(by_customer.select(CUSTOMER, "segment_id"), CUSTOMER), "labelled"
     )
-    limits = publish.LIMITS if config.gate else {**dict.fromkeys(publish.LIMITS, float("inf")), "silhouette": -2.0}
     verdict = materialize(publish.validate_model(metrics_row(labelled, assigned, config), limits), "verdict")
 
     centers = model.clusterCenters()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -28,7 +30,7 @@ CLUSTER_CONF = {
 
 
 def local_session(cores: str | int = "*", app: str = "martloom", **conf: str) -> SparkSession:
-    """A single-machine session for tests and the bench."""
+    """A single-machine session for tests and the bench, with a shared folder of its own if none is set."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -39,6 +41,8 @@ def local_session(cores: str | int = "*", app: str = "martloom", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
+    if not SparkConf().contains(CHECKPOINT_DIR):
+        builder = builder.config(CHECKPOINT_DIR, os.path.join(tempfile.gettempdir(), f"{app}-{uuid.uuid4().hex}"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -47,15 +51,11 @@ def local_session(cores: str | int = "*", app: str = "martloom", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; an own one only on a local master where none is named."""
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="martloom-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    return named.rstrip("/")
 
 
 def _scratch_root(spark: SparkSession) -> str:

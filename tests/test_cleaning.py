@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from martloom.functions import text
@@ -85,3 +86,21 @@ def test_geolocation_merges_points(spark):
     both, single = got["00001|A-B|SP"], got["00002|C|RJ"]
     assert (both.latitude, both.longitude, both.load_timestamp, both.was_merged, both.source_points) == (1.5, 2.0, t2, True, 2)
     assert (single.latitude, single.was_merged, single.is_imputed) == (None, False, False)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_dates_are_utc_in_any_session(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = [("2018-01-01 00:00:00", 1514764800000000000), ("2018-01-01T03:00:00+03:00", None), ("2018-01-01 00:00:00Z", None), ("2018-02-18", None), ("x", None)]
+        df = cleaning.standardize_dates(spark.createDataFrame(rows, "a_date string, b_date long"))
+        df = cleaning.add_load_timestamps(df, now=datetime(2018, 1, 1))
+        got = df.selectExpr("unix_seconds(a_date)", "unix_seconds(b_date)", "unix_seconds(load_timestamp)", "CAST(load_date AS STRING)").collect()
+        assert [r[0] for r in got] == [1514764800] * 3 + [1518912000, None]
+        assert got[0][1] == 1514764800 and got[0][2] == 1514764800 and got[0][3] == "2018-01-01"
+        bare = spark.sql("SELECT '2018-01-01 03:00:00+03:00' AS a_date, TIMESTAMP_NTZ'2018-01-01 00:00:00' AS b_date, 1 AS `x.y`, 'q' AS `t.z`")
+        done = cleaning.clean_text(cleaning.standardize_dates(bare))
+        assert done.filter("a_date = b_date").count() == 1 and done.columns[2:] == ["x.y", "t.z"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

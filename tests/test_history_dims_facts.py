@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -36,6 +37,18 @@ def test_rows_without_a_key_never_meet(spark):
     assert got == [("", "x", True), ("", "y", True), ("", "z", True), ("a", "w", True)]
 
 
+def test_a_repeated_key_is_refused(spark):
+    with pytest.raises(ValueError, match="repeats id: a"):
+        scd2.snapshot_timestamp(None, _people(spark, [("a", "x", T1), ("a", "y", T1), (None, "z", T1), (None, "z", T1)]), "id", "load_timestamp")
+
+
+def test_history_grows_by_one_version_per_load(spark):
+    history = None
+    for i, moment in enumerate((T1, T2, T3)):
+        history = scd2.snapshot_timestamp(history, _people(spark, [("a", "x", moment), ("b", "x", moment)]), "id", "load_timestamp")
+        assert history.count() == 2 * (i + 1)
+
+
 def _places(spark, rows):
     return spark.createDataFrame(rows, "geo_key string, latitude double")
 

@@ -14,7 +14,7 @@ def test_directory_skips_bad_files(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     (tmp_path / "bom.csv").write_bytes(b"\xef\xbb\xbfname,english\nbebes,baby\n")
     (tmp_path / "notes.txt").write_text("x")
-    got = csv.read_csv_dir(spark, str(tmp_path))
+    got = csv.read_csv_dir(spark, str(tmp_path), multi_line={"good"})
     assert set(got) == {"good", "bom"}
     assert got["bom"].columns == ["name", "english"]
     assert [f.dataType.simpleString() for f in got["good"].schema] == ["bigint", "bigint", "string", "double", "boolean"]
@@ -103,3 +103,22 @@ def test_shared_folder_comes_from_the_session(spark):
     assert named is None or shared_dir(spark) == named
     kept = materialize(spark.range(4).withColumn("x", F.lit("y")))
     assert kept.count() == 4 and shared_dir(spark) in kept.inputFiles()[0]
+
+
+def test_bad_rows_stay_bad_whatever_is_selected(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,price,name\n1,2.5,a\n2,oops,b\n3,4,c\n4,5,d,e\n")
+    schema = "id long, price double, name string"
+    good, bad = csv.load_csv_with_bad_record_budget(spark, str(tmp_path / "t.csv"), T.StructType.fromDDL(schema), max_bad=2)
+    assert good.count() == 2 and sorted(r.id for r in good.select("id").collect()) == [1, 3]
+    assert good.groupBy().sum("id").first()[0] == 4 and bad.count() == 2
+
+
+def test_a_file_that_breaks_its_schema_is_skipped(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("id,price\n1,2.5\n2,\n")
+    (tmp_path / "bad.csv").write_text("id,price\n1,oops\n")
+    (tmp_path / "other.csv").write_text("id,cost\n1,2\n")
+    (tmp_path / "quoted.csv").write_text('id,price\n1,"2\n3"\n')
+    schema = T.StructType.fromDDL("id long, price double")
+    got = csv.read_csv_dir(spark, str(tmp_path), {n: schema for n in ("good", "bad", "other")})
+    assert list(got) == ["good"] and got["good"].count() == 2
+    assert csv.read_csv_table(spark, str(tmp_path / "quoted.csv"), multi_line=True).count() == 1
