@@ -716,9 +716,18 @@ def _(lake: Lake) -> DataFrame:
     return rounded(som.neuron_columns(units, FEATURES), *FEATURES, digits=4)
 
 
-@register("som_fit_full_map")
+@register("som_fit_full_map", "SELECT CAST(3200 AS BIGINT) AS units, true AS all_finite, true AS error_fell")
 def _(lake: Lake) -> DataFrame:
-    return som.som_fit(lake.scaled, FEATURES, CUSTOMER)
+    trained = materialize(som.som_fit(lake.scaled, FEATURES, CUSTOMER), "full-map")
+    untrained = som.som_fit(lake.scaled, FEATURES, CUSTOMER, epochs=0)
+    before, after = (
+        som.quantization_error(som.som_assign(lake.scaled, FEATURES, CUSTOMER, m)).scalar() for m in (untrained, trained)
+    )
+    # With as many units as customers the start is exact already.
+    return trained.agg(
+        F.count("*").alias("units"), F.every(F.forall("w", lambda x: F.abs(x) < float("inf"))).alias("all_finite"),
+        (after <= before + 0.05).alias("error_fell"),
+    ).select("units", "all_finite", "error_fell")
 
 
 @register("som_assign", f"SELECT * REPLACE ({r6('dist')} AS dist) FROM assigned")
@@ -756,15 +765,36 @@ def _(lake: Lake) -> DataFrame:
     return rounded(som.component_planes(lake.neurons, FEATURES), "value")
 
 
-@register("kmeans_fit")
+@register(
+    "kmeans_fit",
+    """SELECT c_custkey, CAST(CASE c_custkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS label,
+              true AS nearest, true AS within_cost FROM customer""",
+)
 def _(lake: Lake) -> DataFrame:
-    _, labels = cluster.kmeans_fit(lake.scaled, FEATURES, k=3)
-    return labels.select(CUSTOMER, "label")
+    # Three groups so far apart that there is one right answer; clusters are numbered by their centres.
+    group, inside = F.col("c_custkey") % 3, (F.col("c_custkey") % 7) / 7
+    points = lake.given("customer").select(
+        "c_custkey", F.when(group == 1, 100 + inside).otherwise(inside).alias("x"), F.when(group == 2, 100 - inside).otherwise(inside).alias("y")
+    )
+    model, labels = cluster.kmeans_fit(points, ["x", "y"], k=3)
+    centres = [tuple(map(float, c)) for c in model.clusterCenters()]
+    far = [(F.col("x") - x) * (F.col("x") - x) + (F.col("y") - y) * (F.col("y") - y) for x, y in centres]
+    own = F.element_at(F.array(*far), F.col("label") + 1)
+    inertia = labels.agg(F.sum(own)).scalar()
+    numbers = F.create_map(*[F.lit(n) for new, old in enumerate(sorted(range(3), key=centres.__getitem__)) for n in (old, new)])
+    return labels.select(
+        "c_custkey", F.element_at(numbers, F.col("label")).alias("label"), (own <= F.least(*far) + 1e-9).alias("nearest"),
+        # The cost of training is that of the step before the last move of the centres.
+        (inertia <= model.summary.trainingCost * (1 + 1e-9) + 1e-9).alias("within_cost"),
+    )
 
 
-@register("kmeans_sweep")
+@register("kmeans_sweep", "SELECT CAST(unnest(range(2, 11)) AS INTEGER) AS k, true AS within_spread")
 def _(lake: Lake) -> DataFrame:
-    return cluster.kmeans_sweep(lake.scaled, FEATURES)
+    units = som.neuron_columns(lake.neurons, FEATURES)
+    spread = units.agg(sum((F.var_pop(c) * F.count(c) for c in FEATURES), F.lit(0.0))).scalar()
+    sweep = cluster.kmeans_sweep(units, FEATURES)
+    return sweep.select("k", F.col("sse").between(0, spread * (1 + 1e-9)).alias("within_spread"))
 
 
 def _binned_sse(lake: Lake) -> DataFrame:

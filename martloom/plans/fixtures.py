@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-STATES = "ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO"
+from martloom.plans.suite import STATES
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ def city(k: str) -> str:
 
 
 def state(k: str) -> str:
-    return f"substr('{STATES}', CAST({k} AS INT) * 2 + 1, 2)"
+    return f"substr('{''.join(STATES)}', CAST({k} AS INT) * 2 + 1, 2)"
 
 
 def raw_sql(d: Dialect) -> dict[str, str]:
