@@ -14,7 +14,6 @@ bucket: at the similarity asked for, fewer than one in 200,000.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
