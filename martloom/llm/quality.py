@@ -226,11 +226,10 @@ def classify(
     held = scored.select("id", *kinds).join(F.broadcast(chosen.filter(~half)), F.col("id") == F.col("label_id"))
     # Two numbers per target and row of the sample; an id that repeats in ``docs`` counts once.
     rows = held.groupBy("id").agg(*[F.max(c).alias(c) for c in [*kinds, *marks]]).collect()
-    scored = scored.join(known, F.col("id") == F.col("label_id"), "left") if not labels.isEmpty() else scored.select(
-        "*", *[F.lit(None).cast("int").alias(m) for m in marks]
-    )
-    events = materialize(scored.drop("label_id"), "quality-events")
-    result, odds = events, {}
+    # Labels meet ids and evidence only; the texts are neither shuffled nor stored again.
+    events = scored.select("id", "host", "path", *kinds).join(known, F.col("id") == F.col("label_id"), "left")
+    events = materialize(events.select("host", "path", *kinds, *marks), "quality-events")
+    result, odds = scored, {}
     for i, (e, m) in enumerate(zip(kinds, marks, strict=True)):
         x, y = (np.array([r[c] for r in rows], float) for c in (e, m))
         a, b = calibrated(x, y)
