@@ -45,12 +45,14 @@ SHARD_FILE = "trie-{:06d}.ef"
 
 
 def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of integers as differences, compressed."""
+    """Arrays of integers, byte by byte and compressed; those that never fall as differences."""
     parts = []
     for a in arrays:
         a = np.asarray(a, np.uint64)
-        data = zlib.compress(np.diff(a, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
-        parts += [np.array([len(a), len(data)], np.int64).tobytes(), data]
+        rising = bool((a[1:] >= a[:-1]).all())
+        values = np.diff(a, prepend=np.uint64(0)) if rising else a
+        data = zlib.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+        parts += [np.array([len(a) if rising else ~len(a), len(data)], np.int64).tobytes(), data]
     return b"".join(parts)
 
 
@@ -59,7 +61,8 @@ def unpacked(data: bytes) -> list[np.ndarray]:
     while at < len(data):
         n, size = np.frombuffer(data, np.int64, 2, at).tolist()
         raw = np.frombuffer(zlib.decompress(data[at + 16 : at + 16 + size]), np.uint8)
-        out.append(np.cumsum(np.ascontiguousarray(raw.reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64))
+        values = np.ascontiguousarray(raw.reshape(8, n if n >= 0 else ~n).T).view(np.uint64).ravel()
+        out.append(np.cumsum(values, dtype=np.uint64) if n >= 0 else values)
         at += 16 + size
     return out
 
@@ -129,7 +132,7 @@ def _vocabulary(batches: DataFrame, shards: int) -> DataFrame:
 
 
 def _pairs(joined: DataFrame, id_type: T.DataType, tokens: int, distinct: int, shards: int) -> DataFrame:
-    """Per batch a row of its documents (``shard`` is null), and a row of pairs for each shard of the trie."""
+    """Per batch a row of its documents, with a negative shard, and a row of pairs for each shard of the trie."""
     fields = [("batch", T.LongType()), ("shard", T.LongType()), ("data", T.BinaryType()), ("ids", T.ArrayType(id_type)),
               ("held_out", T.ArrayType(T.BooleanType())), ("n_tokens", T.ArrayType(T.LongType())), ("n_known", T.ArrayType(T.LongType())),
               ("base", T.ArrayType(T.DoubleType()))]
@@ -148,7 +151,7 @@ def _pairs(joined: DataFrame, id_type: T.DataType, tokens: int, distinct: int, s
                 known = np.add.reduceat((counts[place] > 0).astype(np.int64), first)
                 train = np.array(row["train"], bool)
                 yield [
-                    pa.array([row["batch"]]), pa.array([None], pa.int64()), pa.array([None], pa.binary()), batch.column("ids").slice(i, 1),
+                    pa.array([row["batch"]]), pa.array([~row["batch"]]), pa.array([None], pa.binary()), batch.column("ids").slice(i, 1),
                     *[pa.array([x.tolist()], pa.list_(t)) for x, t in ((~train, pa.bool_()), (lengths, pa.int64()), (known, pa.int64()), (base, pa.float64()))],
                 ]
                 # The end of a text is also the context of the next one's first word.
@@ -190,10 +193,14 @@ def pair_logs(trie: BigramTrie, v: np.ndarray, w: np.ndarray, code: np.ndarray,
 
 
 def _scored(pairs: DataFrame, out: str) -> DataFrame:
-    """Per batch and shard: documents and their sums of log probabilities."""
+    """Per batch and shard: documents and their sums of log probabilities. Rows of documents pass through."""
+
+    others = [c for c in pairs.columns if c not in ("batch", "shard", "data")]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
+        if shard < 0:
+            return rows.assign(sums=None)
         sent = [unpacked(d) for d in rows["data"]]
         v, w, code, seen, train = (np.concatenate([s[i] for s in sent]) for i in (0, 1, 2, 3, 5))
         # The last attempt to finish takes the name; all write the same bytes.
@@ -213,9 +220,10 @@ def _scored(pairs: DataFrame, out: str) -> DataFrame:
             data.append(packed(docs))
             sums.append(total[docs].tobytes())
             at += len(doc)
-        return pd.DataFrame({"batch": rows["batch"], "shard": shard, "data": data, "sums": sums})
+        return pd.DataFrame({"batch": rows["batch"], "shard": shard, "data": data, "sums": sums, **dict.fromkeys(others)})
 
-    return pairs.groupBy("shard").applyInPandas(run, "batch long, shard long, data binary, sums binary")
+    schema = T.StructType([*pairs.schema, T.StructField("sums", T.BinaryType())])
+    return pairs.groupBy("shard").applyInPandas(run, schema)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
@@ -246,11 +254,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model
     known = words.agg(F.sum("fresh")).first()[0]
     answers = words.groupBy("batch").agg(F.collect_list(F.struct("shard", "data")).alias("answers"))
     joined = batches.select("batch", "ids", "train", "lengths", "places").join(answers.hint("merge"), "batch")
-    pairs = materialize(_pairs(joined, kind, size.train_tokens, known, size.tokens // PAIRS_PER_SHARD + 1), "lm-pairs")
+    pairs = _pairs(joined, kind, size.train_tokens, known, size.tokens // PAIRS_PER_SHARD + 1)
     out = model or scratch_path(spark, "lm-trie")
-    sums = materialize(_scored(pairs.filter("shard IS NOT NULL").select("batch", "shard", "data"), out), "lm-sums")
-    whole = pairs.filter("shard IS NULL").drop("shard", "data")
-    parts = sums.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("shard", "data", "sums"))).alias("parts"))
+    sums = materialize(_scored(pairs, out), "lm-sums")
+    whole = sums.filter("shard < 0").drop("shard", "data", "sums")
+    parts = sums.filter("shard >= 0").groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("shard", "data", "sums"))).alias("parts"))
     joined = whole.join(parts.hint("merge"), "batch")
     columns = ["held_out", "n_tokens", "n_known", "base"]
     schema = T.StructType([
