@@ -58,8 +58,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epo
     )
     share = F.col("left_over").cast("double") * F.col("weight") / F.col("left_weight")
     capped = shared.withColumn("capped", share > F.col("cap"))
-    # The first source in this order that is not capped settles what a unit of weight is worth.
-    settled = F.min(F.when(~F.col("capped"), F.struct("room", "left_over", "left_weight"))).over(whole)
+    # The first source in this order that is not capped settles what a unit of weight is worth, also among equal rooms.
+    order = F.struct("room", F.col("source").isNull().alias("none"), "source", "left_over", "left_weight")
+    settled = F.min(F.when(~F.col("capped"), order)).over(whole)
     return capped.withColumn("settled", settled).select(
         "source", "source_size",
         F.when(F.col("capped"), F.col("cap").cast("double"))

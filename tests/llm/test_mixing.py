@@ -66,3 +66,15 @@ def test_odd_tables(spark):
     assert [(r.size, r.target, r.taken) for r in blank] == [(0, 0.0, 0)] * 2
     same = mixing.mix(spark.createDataFrame([(None, "x y", "a")] * 4 + [(1, "z", "b")], schema)).collect()
     assert sum(r.taken for r in same if r.source == "a") + sum(r.taken for r in same if r.source == "b") == 9
+
+
+@pytest.mark.parametrize("sizes", [(100, 200), (100, 200, 300), (100,) * 6, (100, 200, 300, 50, 100, 150), (7, 14, 0, 7)])
+def test_equal_rooms(spark, sizes):
+    rows = [(i, " ".join(["w"] * n), f"s{i}") for i, n in enumerate(sizes)]
+    rows[-1] = (*rows[-1][:2], None)  # the source without a name comes last
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    for (doc_id, _, _), (size, source_size, target, taken) in zip(rows, brute_force(rows), strict=True):
+        r = got[doc_id]
+        assert (r.size, r.source_size, r.taken) == (size, source_size, taken) and r.target == pytest.approx(target)
+    assert sum(r.target for r in got.values()) == pytest.approx(sum(sizes))
