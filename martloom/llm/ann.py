@@ -3,8 +3,9 @@
 Trees split a bounded sample of the vectors by random hyperplanes at the median until parts are small; the forest is small
 enough to go to every task. Every vector is filed in one leaf per tree. A query walks all trees at once with one
 priority queue: the branch it missed by the least is taken next, in whichever tree it is, until enough leaves are
-open. A leaf that grows beyond a bound has a forest of its own, built where the leaf is searched. All vectors of the open
-leaves are scored exactly.
+open. How many are enough is measured on the table itself: drawn queries are answered by brute force, one pass over the
+vectors, and leaves are opened until the forest finds ``RECALL`` of these answers. A leaf that grows beyond a bound has a
+forest of its own, built and measured likewise where the leaf is searched. All vectors of the open leaves are scored exactly.
 
 Inner products are searched as angles: one more coordinate lifts every vector to the same length.
 """
@@ -24,7 +25,11 @@ from pyspark.sql import types as T
 from martloom.llm.common import col, map_batches, materialize
 
 TREES = 16
+# Leaves opened at least; more where the share of the neighbours that drawn queries find asks for it.
 LEAVES_OPEN = 96
+RECALL = 0.95
+LEAF_RECALL = 0.99
+DRAWN_QUERIES = 256
 # Vectors that shape the trees, at most; vectors per leaf aimed at; sampled vectors a leaf needs at least.
 SAMPLE = 65_536
 LEAF = 512
@@ -70,6 +75,42 @@ class Forest:
             out[:, t] = node
         return out
 
+    def missed(self, vector: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """For each row the margin by which ``vector`` misses its leaf, in the tree where that is least."""
+        best_ = np.full(len(rows), np.inf)
+        for t in range(self.trees):
+            node, worst = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+            margins = self.normals[t] @ vector - self.offsets[t]
+            for _ in range(self.depth):
+                side = np.einsum("ij,ij->i", rows, self.normals[t, node]) > self.offsets[t, node]
+                margin = margins[node]
+                worst = np.where(side == (margin > 0), worst, np.maximum(worst, np.abs(margin)))
+                node = 2 * node + 1 + side
+            best_ = np.minimum(best_, worst)
+        return best_
+
+    def margins(self, vector: np.ndarray) -> np.ndarray:
+        """The margins by which ``vector`` misses the leaves of all trees, in rising order."""
+        out = []
+        for t in range(self.trees):
+            margins = self.normals[t] @ vector - self.offsets[t]
+            worst = np.zeros(1)
+            for level in range(self.depth):
+                margin = margins[(1 << level) - 1 : (2 << level) - 1]
+                other = np.maximum(worst, np.abs(margin))
+                worst = np.column_stack([np.where(margin > 0, other, worst), np.where(margin > 0, worst, other)]).ravel()
+            out.append(worst)
+        return np.sort(np.concatenate(out))
+
+    def enough(self, missed: list[tuple[np.ndarray, np.ndarray]], recall: float) -> int:
+        """Leaves to open so that vectors find this share of their neighbours, given by the margins that miss them."""
+        # Sums differ in the last places between one row and many, so leaves at about the margin are counted.
+        ranks = [np.searchsorted(self.margins(v), at + 1e-5, "right") for v, at in missed if len(at)]
+        if not ranks:
+            return 0
+        ranks = np.sort(np.concatenate(ranks))
+        return int(ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))) - 1)])
+
     def search(self, vector: np.ndarray, count: int) -> list[tuple[int, int]]:
         """The ``count`` leaves (tree, leaf) that the shared queue opens first."""
         inner = (1 << self.depth) - 1
@@ -103,7 +144,7 @@ def products(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def search_leaf(ids: np.ndarray, rows: np.ndarray, lifted: np.ndarray, queries: np.ndarray, lifted_queries: np.ndarray, k: int):
     """For each query the places of its ``k`` best rows of a leaf and their products."""
-    inner = None
+    inner, count = None, 0
     if len(rows) > LEAF_LIMIT:
         depth = int(np.ceil(np.log2(len(rows) / LEAF)))
         draws = np.random.default_rng(len(rows))
@@ -111,24 +152,65 @@ def search_leaf(ids: np.ndarray, rows: np.ndarray, lifted: np.ndarray, queries:
         filed = inner.leaves(lifted)
         order = [np.argsort(filed[:, t], kind="stable") for t in range(TREES)]
         sorted_ = [filed[o, t] for t, o in enumerate(order)]
+        missed = []
+        for i in draws.choice(len(queries), min(len(queries), DRAWN_QUERIES), replace=False):
+            near = best(products(queries[i], rows), ids, k)
+            missed.append((lifted_queries[i], inner.missed(lifted_queries[i], lifted[near])))
+        count = max(LEAVES_OPEN, inner.enough(missed, LEAF_RECALL))
     for q, l in zip(queries, lifted_queries, strict=True):
         places = np.arange(len(rows))
         if inner:
-            spans = [order[t][np.searchsorted(sorted_[t], n) : np.searchsorted(sorted_[t], n, "right")] for t, n in inner.search(l, LEAVES_OPEN)]
+            spans = [order[t][np.searchsorted(sorted_[t], n) : np.searchsorted(sorted_[t], n, "right")] for t, n in inner.search(l, count)]
             places = np.unique(np.concatenate(spans))
         scores = products(q, rows[places])
         top = best(scores, ids[places], k)
         yield places[top], scores[top]
 
 
+def enough_leaves(points: DataFrame, asked: DataFrame, forest, lift, lift_queries, k: int) -> int:
+    """Leaves to open so that ``DRAWN_QUERIES`` of the queries find ``RECALL`` of their ``k`` best points.
+
+    Each task passes on the ``k`` best of its points for each drawn query, so the answers do not depend on the forest.
+    """
+    drawn = asked.orderBy(F.xxhash64("point", F.lit(4))).select("v").limit(DRAWN_QUERIES).toPandas()["v"]
+    if not len(drawn):
+        return LEAVES_OPEN
+    queries = np.stack(drawn.to_numpy()).astype(float)
+    lifted = lift_queries(queries)
+    schema = T.StructType([T.StructField("query", T.IntegerType()), T.StructField("score", T.DoubleType()), T.StructField("missed", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        kept: list = [(np.zeros(0), np.zeros((0, queries.shape[1])))] * len(queries)
+        for batch in batches:
+            rows = batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1).astype(float)
+            scores = queries @ rows.T
+            for i, here in enumerate(scores):
+                top = np.argpartition(-here, k - 1)[:k] if len(here) > k else np.arange(len(here))
+                s, v = np.concatenate([kept[i][0], here[top]]), np.concatenate([kept[i][1], rows[top]])
+                order = np.argsort(-s, kind="stable")[:k]
+                kept[i] = s[order], v[order]
+        for i, (s, v) in enumerate(kept):
+            if len(s):
+                at = forest.value.missed(lifted[i], lift(v))
+                yield [pa.array(np.full(len(s), i, np.int32)), pa.array(s), pa.array(at)]
+
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "missed")
+    found = map_batches(points.select("v"), run, schema).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    at = found.select("query", "missed").toPandas()
+    missed = [(lifted[i], part.to_numpy()) for i, part in at.groupby("query")["missed"]]
+    return max(LEAVES_OPEN, forest.value.enough(missed, RECALL))
+
+
 def nearest(
     vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", modulus: int = QUERY_MODULUS,
-    trees: int = TREES, leaves_open: int = LEAVES_OPEN,
+    trees: int = TREES, leaves_open: int | None = None,
 ) -> DataFrame:
     """``query_id, rank, <id>, score``: the ``k`` rows with the largest inner product found for each query.
 
     Queries are the rows whose id is divisible by ``modulus``; candidates are all rows but the query's own.
 
+    Leaves are opened as :func:`enough_leaves` measures it, unless their number is given.
+
     * Rows whose id is null, whose vector is null, empty, zero or holds a null or non-finite element, and rows whose
       vector has not the commonest length, take no part.
     * Equal vectors are searched once. Of each, the ``k + 1`` smallest ids can be results, as ties go to smaller ids.
@@ -196,12 +278,14 @@ def nearest(
     points = points.select("point", F.col("ids").cast("array<long>").alias("ids"), "v")
     queries = rows.filter(F.col("id") % modulus == 0).select(F.col("id").cast("long").alias("query_id"), "v")
     asked = materialize(queries.select("v").distinct().join(points, "v").select("point", "ids", "v"), "ann-queries")
+    if leaves_open is None:
+        leaves_open = enough_leaves(points, asked, forest, lift, lift_queries, k + 1)
     filed = map_batches(points, file, filed_as)
     wanted = map_batches(asked, ask, filed_as)
 
     def scan(key, leaf: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if not len(leaf) or not len(asks):
-            return pd.DataFrame({"point": [], "found": [], "ids": [], "score": []})
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("point", "found", "ids", "score")})
         v, q = (np.stack(x.v.to_numpy()).astype(float) for x in (leaf, asks))
         numbers, ids = leaf.point.to_numpy(), leaf.ids.to_numpy()
         smallest = np.array([i[0] for i in ids])

@@ -71,3 +71,16 @@ def test_odd_rows(spark):
     assert few == {300: [(301, 2.0)]}
     assert ann.nearest(df.filter("vec_id IN (303, 304)")).columns == ["query_id", "rank", "vec_id", "score"]
     assert ann.nearest(df.limit(0)).count() == 0
+
+
+def test_recall_where_96_leaves_are_a_small_part(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LEAF", 32)  # 96 leaves are a small part, as on larger tables
+    draw = np.random.default_rng(5)
+    vectors = draw.standard_normal((6000, 48)).astype(np.float32).astype(float)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    ids = np.arange(len(vectors))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<double>")
+    want, got = brute_force(ids, vectors, 20, 200), by_query(ann.nearest(df, modulus=200, trees=4).collect())
+    assert got.keys() == want.keys()
+    hit = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hit >= 0.9 * 20 * len(want)
