@@ -77,10 +77,10 @@ def parity_easter(year: Column) -> Column:
     existing reports carry these dates.
     """
     y = year.cast("long")
-    golden = 255 - (y % 19) * 11
-    weekday = (y + _div(y, 4) + _div(golden, 30)) % 7
-    offset = golden % 30 + 20 + (weekday + 6) % 7
-    return F.date_add(F.make_date(year, F.lit(1), F.lit(1)), offset.cast("int"))
+    # Fixed formula.
+    e = F.lit(255) - F.lit(11) * (y % 19)
+    days = e % 30 + 21 + (F.lit(6) + (y + _div(y, 4) + _div(e, 30)) % 7) % 7 - 1
+    return F.date_add(F.make_date(year, F.lit(1), F.lit(1)), days.cast("int"))
 
 
 def gregorian_easter(year: Column) -> Column:

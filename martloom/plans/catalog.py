@@ -771,10 +771,11 @@ def _(lake: Lake) -> DataFrame:
               true AS nearest, true AS within_cost FROM customer""",
 )
 def _(lake: Lake) -> DataFrame:
-    # Three groups so far apart that there is one right answer; clusters are numbered by their centres.
+    # Three groups so far apart, in x already, that there is one right answer; clusters are numbered by their centres.
     group, inside = F.col("c_custkey") % 3, (F.col("c_custkey") % 7) / 7
     points = lake.given("customer").select(
-        "c_custkey", F.when(group == 1, 100 + inside).otherwise(inside).alias("x"), F.when(group == 2, 100 - inside).otherwise(inside).alias("y")
+        "c_custkey", (F.when(group == 1, 200).when(group == 2, 100).otherwise(0) + inside).alias("x"),
+        F.when(group == 2, 100 - inside).otherwise(inside).alias("y"),
     )
     model, labels = cluster.kmeans_fit(points, ["x", "y"], k=3)
     centres = [tuple(map(float, c)) for c in model.clusterCenters()]

@@ -74,11 +74,12 @@ def _second(first: str, stg_2: str, key: str) -> str:
 RUN_1, RUN_2 = "TIMESTAMP '2018-10-20 12:00:00'", "TIMESTAMP '2018-10-22 00:00:00'"
 PLACE_COLS = "zip_code_prefix, latitude, longitude, city, state, load_timestamp, is_imputed, geo_key"
 
+# Fixed formula.
 PARITY_EASTER = """make_date(year, 1, 1) + CAST(
     ((255 - 11 * (year % 19)) % 30 + 21
      + (6 + (year + year // 4 + (255 - 11 * (year % 19)) // 30) % 7) % 7 - 1) AS INTEGER)"""
 
-# Gregorian computus, step by step.
+# Fixed formula: Gregorian computus, step by step.
 GREGORIAN = """
     SELECT year, make_date(year, n // 31, n % 31 + 1) AS easter_sunday FROM (
       SELECT year, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS n FROM (
@@ -87,6 +88,7 @@ GREGORIAN = """
             SELECT year, year % 19 AS a, year // 100 AS b, year % 100 AS c, (year // 100) // 4 AS d,
                    (year // 100) % 4 AS e FROM years))))"""
 
+# Names of the holidays.
 HOLIDAY = """CASE strftime(date_day, '%m-%d')
     WHEN '01-01' THEN 'Ano Novo' WHEN '04-21' THEN 'Tiradentes' WHEN '05-01' THEN 'Dia do Trabalhador'
     WHEN '09-07' THEN 'Independência do Brasil' WHEN '10-12' THEN 'Nossa Senhora Aparecida'
