@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, bpe, chat, exact_dedup, line_dedup, mixing, near_dedup, ngram_lm, quality, token_files, warc
+from martloom.llm import ann, bpe, chat, exact_dedup, line_dedup, mixing, near_dedup, ngram_lm, quality, token_files, warc, whitening
 from martloom.llm.common import materialize, read, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +155,19 @@ SELECT conv_id, count(*) AS n_turns,
 """
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whole_numbers(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    model = whitening.fit(rows.select("x"))
+    found = whitening.transform(rows.select("vec_id", "x"), model)
+    shares = F.array(*[F.lit(float(e / model.trace)) for e in model.values]).cast("array<double>")
+    long = found.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return long.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"),
+        F.col("deviation").cast("long").alias("deviation"), "whitened", F.get(shares, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
@@ -167,6 +180,7 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
     "op11_chat_format": op11_chat_format,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
