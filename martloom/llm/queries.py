@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import ann, bpe, chat, exact_dedup, line_dedup, mixing, near_dedup, ngram_lm, quality, token_files, warc, whitening
+from martloom.llm import ann, bpe, chat, exact_dedup, line_dedup, mixing, near_dedup, ngram_lm, quality, repair, token_files, warc, whitening
 from martloom.llm.common import materialize, read, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +155,19 @@ SELECT conv_id, count(*) AS n_turns,
 """
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, repaired = repair.repair(repair.damage(rows))
+    ids = rows.select("conv_id").distinct().alias("i")
+    joined = ids.join(report.alias("r"), F.col("i.conv_id").eqNullSafe(F.col("r.conv_id")), "left")
+    joined = joined.join(repair.digests(repaired).alias("d"), F.col("i.conv_id").eqNullSafe(F.col("d.conv_id")), "left")
+    counts = [F.coalesce(f"r.{c}", F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select(
+        "i.conv_id", *counts, F.coalesce("r.audit", F.lit("")).alias("audit"),
+        F.coalesce("d.sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whole_numbers(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     model = whitening.fit(rows.select("x"))
@@ -180,6 +193,7 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
     "op11_chat_format": op11_chat_format,
+    "op12_repair": op12_repair,
     "op13_whitening": op13_whitening,
 }
 
