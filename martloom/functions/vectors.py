@@ -76,6 +76,21 @@ def add_to_units(sums: np.ndarray, counts: np.ndarray, x: np.ndarray, best: np.n
         sums[:, d] += np.bincount(best, weights=units[:, d], minlength=len(counts)).astype(np.int64)
 
 
+# Products of coordinates are summed as whole numbers of this unit (2^-16) squared, in two halves that fit into longs.
+PRODUCT_UNIT_BITS, HALF_BITS = 16, 18
+
+
+def exact_products(x: np.ndarray) -> np.ndarray:
+    """Sums of the products of all pairs of columns, a first column of ones included, as Python integers."""
+    if len(x) and not np.abs(x).max() < EXACT_BELOW:
+        raise OverflowError(f"a map takes finite values below {EXACT_BELOW:.0f}; scale the columns first")
+    whole = np.rint(np.hstack([np.ones((len(x), 1)), x]) * (1 << PRODUCT_UNIT_BITS)).astype(np.int64)
+    high, low = whole >> HALF_BITS, whole & ((1 << HALF_BITS) - 1)
+    mixed = (high.T @ low).astype(object)
+    squares = (high.T @ high).astype(object) * (1 << 2 * HALF_BITS)
+    return squares + (mixed + mixed.T) * (1 << HALF_BITS) + (low.T @ low).astype(object)
+
+
 def label_distance_sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, one_hot: np.ndarray) -> np.ndarray:
     """For each row of ``x`` and each label, the weighted sum of distances to the rows of ``y``."""
     return np.vstack([np.sqrt(squared_distances(b, y)) @ (one_hot * weight[:, None]) for b in blocks(x)])

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from decimal import Decimal
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +16,12 @@ from martloom.functions import vectors
 from martloom.session import materialize
 
 # The map the segmentation uses.
-ROWS, COLUMNS, SIGMA, SEED = 80, 40, 1.2, 42
+ROWS, COLUMNS, SEED = 80, 40, 42
 EPOCHS = 20
+# The neighbourhood at the end of training: a unit and a little of those next to it.
+SIGMA_END = 0.5
+# Sums this small have lost digits; a unit so far from all rows stays where it is.
+TOO_SMALL = 1e-200
 
 # The weights travel to every task; larger maps than this are refused.
 MAX_WEIGHT_BYTES = 64 << 20
@@ -51,6 +57,55 @@ def initial_weights(df: DataFrame, cols: Sequence[str], id_col: str, units: int,
     return np.array([rows[u % wanted] for u in range(units)], dtype=float)
 
 
+def covariance(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, means and covariance (divisor n). One pass; tasks send whole numbers, so the result is the same
+    for any partitioning."""
+    width = len(cols) + 1
+
+    def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((width, width), dtype=object)
+        for batch in batches:
+            for x in vectors.blocks(batch.to_numpy(dtype=float)):
+                total = total + vectors.exact_products(x)
+        a, b = np.indices(total.shape)
+        yield pd.DataFrame({"a": a.ravel(), "b": b.ravel(), "p": [Decimal(int(v)) for v in total.ravel()]})
+
+    parts = df.select(*_as_doubles(cols)).mapInPandas(partials, "a int, b int, p decimal(38,0)")
+    summed = parts.groupBy("a", "b").agg(F.sum("p").alias("p")).collect()
+    products = {(r["a"], r["b"]): int(r["p"]) for r in summed}
+    one = 1 << vectors.PRODUCT_UNIT_BITS
+    n = products.get((0, 0), 0) // one**2
+    if n == 0:
+        raise ValueError("cannot fit a map to an empty table")
+    sums = [products[0, d] for d in range(1, width)]  # in units of one squared
+    means = np.array([float(Fraction(s, n * one**2)) for s in sums])
+    spread = [
+        [float(Fraction(products[a + 1, b + 1], n * one**2) - Fraction(sums[a] * sums[b], n * n * one**4)) for b in range(width - 1)]
+        for a in range(width - 1)
+    ]
+    return n, means, np.array(spread)
+
+
+def plane_weights(df: DataFrame, cols: Sequence[str], m: int, n: int) -> np.ndarray:
+    """Units on the plane through the mean along the two widest directions, a deviation to each side of it.
+
+    The longer side of the grid lies along the widest direction, so neighbours on the grid are neighbours in the data from
+    the first epoch on.
+    """
+    _, mean, spread = covariance(df, cols)
+    values, axes = np.linalg.eigh(spread)
+    # An axis has two directions; its largest entry is to be positive.
+    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(len(mean))])
+    steps = axes * np.sqrt(np.maximum(values, 0.0))
+    first = steps[:, -1]
+    second = steps[:, -2] if len(mean) > 1 else np.zeros(len(mean))
+    if n > m:
+        first, second = second, first
+    down, across = (np.linspace(-1.0, 1.0, size) if size > 1 else np.zeros(1) for size in (m, n))
+    plane = mean + down[:, None, None] * first + across[None, :, None] * second
+    return plane.reshape(m * n, len(mean))
+
+
 def _epoch_sums(data: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sum and number of the rows nearest to each unit: one pass, at most one row per task and unit."""
     units, width = weights.shape
@@ -104,32 +159,41 @@ def _smooth(grid: np.ndarray, radius: float) -> np.ndarray:
     return np.einsum("jb,ib...->ij...", across, np.einsum("ia,ab...->ib...", down, grid))
 
 
+def radii(epochs: int, first: float, last: float) -> list[float]:
+    """The neighbourhood's radius in each epoch: it shrinks by the same factor from one to the next."""
+    return [first * (last / first) ** (epoch / max(epochs - 1, 1)) for epoch in range(epochs)]
+
+
 def som_fit(
     df: DataFrame,
     cols: Sequence[str],
     id_col: str,
     m: int = ROWS,
     n: int = COLUMNS,
-    sigma: float = SIGMA,
+    sigma: float | None = None,
+    sigma_end: float = SIGMA_END,
     epochs: int = EPOCHS,
     seed: int = SEED,
+    start: str = "plane",
 ) -> DataFrame:
     """Train a map by the batch rule and return its units ``(i, j, w)``.
 
-    Each epoch is one scan that sends a sum per unit, then a neighbourhood-weighted mean over the
-    units. The radius shrinks by the epoch. The sums are exact integers, so one seed gives one
-    map on any number of executors.
+    Each epoch is one scan that sends a sum per unit, then a neighbourhood-weighted mean over the units. The radius shrinks
+    from ``sigma`` (half the longer side of the grid unless given) to ``sigma_end``: first the whole map follows the data, at
+    last each unit its own rows. The map starts as a plane through the data (``plane_weights``) or, with ``start="rows"``, at
+    rows drawn by ``seed``. All sums are exact integers, so the map is the same on any number of executors.
     """
     _check_size(m * n, len(cols))
+    if start not in ("plane", "rows"):
+        raise ValueError(start)
     data = materialize(df.select(id_col, *_as_doubles(cols)), "som-input")
-    weights = initial_weights(data, cols, id_col, m * n, seed)
+    weights = plane_weights(data, cols, m, n) if start == "plane" else initial_weights(data, cols, id_col, m * n, seed)
     rows = data.select(*cols)
-    for epoch in range(epochs):
-        radius = sigma / (1.0 + epoch / (epochs / 2.0))
+    for radius in radii(epochs, max(m, n) / 2 if sigma is None else sigma, sigma_end):
         sums, counts = _epoch_sums(rows, weights)
         top = _smooth(sums.reshape(m, n, -1), radius).reshape(m * n, -1)
         bottom = _smooth(counts.reshape(m, n), radius).reshape(m * n)
-        moved = bottom > 0
+        moved = bottom > TOO_SMALL
         weights[moved] = top[moved] / bottom[moved, None]
     return df.sparkSession.createDataFrame(
         [(u // n, u % n, w.tolist()) for u, w in enumerate(weights)], "i int, j int, w array<double>"
@@ -175,24 +239,28 @@ def som_assign(df: DataFrame, cols: Sequence[str], id_col: str, neurons: DataFra
     return df.select(id_col, *_as_doubles(cols)).mapInPandas(assign, schema)
 
 
+def touching() -> Column:
+    """Whether a row's two best units are next to each other, corners included."""
+    return F.greatest(F.abs(F.col("i") - F.col("i2")), F.abs(F.col("j") - F.col("j2"))) <= 1
+
+
+def _errors() -> list[Column]:
+    return [F.avg("dist").alias("quantization_error"), F.avg((~touching()).cast("double")).alias("topographic_error")]
+
+
 def quantization_error(assigned: DataFrame) -> DataFrame:
     """Mean distance to the best unit."""
-    return assigned.agg(F.avg("dist").alias("quantization_error"))
+    return assigned.agg(_errors()[0])
 
 
 def topographic_error(assigned: DataFrame) -> DataFrame:
-    """Share of rows whose two best units do not touch, corners included."""
-    apart = F.greatest(F.abs(F.col("i") - F.col("i2")), F.abs(F.col("j") - F.col("j2"))) > 1
-    return assigned.agg(F.avg(F.when(apart, 1.0).otherwise(0.0)).alias("topographic_error"))
+    """Share of rows whose two best units do not touch."""
+    return assigned.agg(_errors()[1])
 
 
 def map_errors(assigned: DataFrame) -> DataFrame:
     """Both errors in one pass."""
-    apart = F.greatest(F.abs(F.col("i") - F.col("i2")), F.abs(F.col("j") - F.col("j2"))) > 1
-    return assigned.agg(
-        F.avg("dist").alias("quantization_error"),
-        F.avg(F.when(apart, 1.0).otherwise(0.0)).alias("topographic_error"),
-    )
+    return assigned.agg(*_errors())
 
 
 def u_matrix(neurons: DataFrame) -> DataFrame:

@@ -30,7 +30,8 @@ class SegmentationConfig:
 
     m: int = som.ROWS
     n: int = som.COLUMNS
-    sigma: float = som.SIGMA
+    sigma: float | None = None
+    sigma_end: float = som.SIGMA_END
     epochs: int = som.EPOCHS
     seed: int = som.SEED
     gate: bool = True
@@ -92,7 +93,9 @@ def run_segmentation(
     feats = materialize(features.customer_features(marts, config.by_zip), "features")
     scaled = materialize(features.standard_scale(feats, FEATURES, CUSTOMER)[0], "scaled")
     neurons = materialize(
-        som.som_fit(scaled, FEATURES, CUSTOMER, config.m, config.n, config.sigma, config.epochs, config.seed),
+        som.som_fit(
+            scaled, FEATURES, CUSTOMER, config.m, config.n, config.sigma, config.sigma_end, config.epochs, config.seed
+        ),
         "neurons",
     )
     assigned = materialize(som.som_assign(scaled, FEATURES, CUSTOMER, neurons), "assigned")

@@ -34,24 +34,71 @@ def test_nearest_equals_brute_force_with_ties():
 
 def test_map_is_the_same_for_any_partitioning(spark):
     df, _ = _blobs(spark)
-    one = som.som_fit(df.coalesce(1), COLS, "id", 4, 3, epochs=4).collect()
-    many = som.som_fit(df.repartition(7), COLS, "id", 4, 3, epochs=4).collect()
-    assert one == many
-    assert som.som_fit(df, COLS, "id", 4, 3, epochs=4, seed=7).collect() != one
+    for start in ("rows", "plane"):
+        one = som.som_fit(df.coalesce(1), COLS, "id", 4, 3, epochs=4, start=start).collect()
+        assert som.som_fit(df.repartition(7), COLS, "id", 4, 3, epochs=4, start=start).collect() == one
+    drawn = [som.som_fit(df, COLS, "id", 4, 3, epochs=1, sigma=0.5, seed=seed, start="rows").collect() for seed in (7, 8)]
+    assert drawn[0] != drawn[1]
 
 
 def test_training_lowers_the_error(spark):
     df, _ = _blobs(spark)
     errors = []
     for epochs in (1, 20):
-        units = som.som_fit(df, COLS, "id", 6, 5, epochs=epochs)
+        units = som.som_fit(df, COLS, "id", 6, 5, epochs=epochs, start="rows")
         errors.append(som.quantization_error(som.som_assign(df, COLS, "id", units)).first()[0])
     assert errors[1] < errors[0]
 
 
+def _sheet(spark, n=3000):
+    """Points on a curved sheet in three dimensions, with a little noise."""
+    rng = np.random.default_rng(4)
+    u, v = rng.uniform(-2, 2, n), rng.uniform(-1, 1, n)
+    points = np.stack([u + 0.2 * v, v, 0.3 * u * u], axis=1) + rng.normal(size=(n, 3)) * 0.01
+    return spark.createDataFrame([(f"c{i}", *map(float, p)) for i, p in enumerate(points)], "id string, x double, y double, z double"), points
+
+
+def test_covariance_is_exact_and_independent_of_partitions(spark):
+    df, points = _sheet(spark, 500)
+    n, mean, spread = som.covariance(df.repartition(5), COLS)
+    assert n == 500 and np.allclose(mean, points.mean(axis=0), atol=1e-6) and np.allclose(spread, np.cov(points.T, bias=True), atol=1e-5)
+    again = som.covariance(df.coalesce(1), COLS)
+    assert (again[1] == mean).all() and (again[2] == spread).all()
+
+
+def test_plane_lies_along_the_widest_directions(spark):
+    df, points = _sheet(spark)
+    values, axes = np.linalg.eigh(np.cov(points.T, bias=True))
+    for m, n, long in ((9, 4, 0), (4, 9, 1)):
+        plane = som.plane_weights(df, COLS, m, n).reshape(m, n, 3)
+        sides = [plane[-1, 0] - plane[0, 0], plane[0, -1] - plane[0, 0]]
+        for side, axis in ((sides[long], -1), (sides[1 - long], -2)):
+            assert np.allclose(np.abs(side @ axes[:, axis]), 2 * np.sqrt(values[axis]), rtol=1e-4)
+
+
+def test_map_unfolds_on_a_sheet(spark):
+    """Both errors beat those of one epoch from drawn rows, and neighbours in the data are neighbours on the map."""
+    df, _ = _sheet(spark)
+    folded = som.map_errors(som.som_assign(df, COLS, "id", som.som_fit(df, COLS, "id", 20, 10, epochs=1, start="rows", sigma=1.2))).first()
+    early = som.map_errors(som.som_assign(df, COLS, "id", som.som_fit(df, COLS, "id", 20, 10, epochs=1))).first()
+    trained = som.map_errors(som.som_assign(df, COLS, "id", som.som_fit(df, COLS, "id", 20, 10))).first()
+    assert trained.quantization_error < 0.5 * early.quantization_error
+    assert trained.topographic_error < 0.25 and trained.topographic_error < 0.5 * folded.topographic_error
+
+
+def test_plane_of_one_direction_or_one_row(spark):
+    line = spark.createDataFrame([(str(i), float(i), 2.0 * i) for i in range(20)], "id string, x double, y double")
+    units = som.som_fit(line, ["x", "y"], "id", 5, 2)
+    assert som.map_errors(som.som_assign(line, ["x", "y"], "id", units)).first().quantization_error < 3
+    single = som.som_fit(line.limit(1), ["x"], "id", 3, 2)
+    assert {tuple(r.w) for r in single.collect()} == {(0.0,)}
+    with pytest.raises(ValueError, match="empty"):
+        som.som_fit(line.limit(0), ["x"], "id", 3, 2)
+
+
 def test_map_larger_than_the_data(spark):
     df, points = _blobs(spark, n=4)
-    units = som.som_fit(df, COLS, "id", 5, 4, epochs=0)
+    units = som.som_fit(df, COLS, "id", 5, 4, epochs=0, start="rows")
     assert units.count() == 20 and {tuple(r.w) for r in units.collect()} == {tuple(p) for p in points}
 
 
