@@ -19,7 +19,7 @@ from martloom.plans import fixtures, marts, oracles
 from martloom.plans.oracles import GRID_COLS, UNITS, r6, with_pieces
 from martloom.plans.suite import STATES, mart_tests
 from martloom.session import materialize, scratch_path
-from martloom.sources import csv, tables
+from martloom.sources import csv, history, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -439,6 +439,30 @@ def _(lake: Lake) -> DataFrame:
     return lake.snapshots["geolocation"]
 
 
+def _stored_history(lake: Lake, name: str) -> DataFrame:
+    """Both loads through the growing store."""
+    path = scratch_path(lake.spark, "history")
+    for staged, as_of in ((lake.stg[name], RUN_1), (lake._staged_2(name), RUN_2)):
+        open_rows = history.read_open(lake.spark, path)
+        if name == "geolocation":
+            places = staged.select(*marts.PLACE_COLUMNS)
+            changes = scd2.changes_check(open_rows, places, marts.PLACE_KEY, marts.PLACE_CHECKS, F.expr(as_of))
+        else:
+            changes = scd2.changes_timestamp(open_rows, staged, marts.HISTORY_KEYS[name], marts.UPDATED_AT)
+        history.append(changes, path)
+    return history.read_history(lake.spark, path)
+
+
+@register("history_timestamp", "SELECT * FROM snap_customers")
+def _(lake: Lake) -> DataFrame:
+    return _stored_history(lake, "customers")
+
+
+@register("history_check", "SELECT * FROM snap_geolocation")
+def _(lake: Lake) -> DataFrame:
+    return _stored_history(lake, "geolocation")
+
+
 @register("current_rows", "SELECT * FROM snap_customers WHERE dbt_valid_to IS NULL")
 def _(lake: Lake) -> DataFrame:
     return scd2.current_rows(lake.snapshots["customers"])

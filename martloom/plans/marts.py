@@ -32,20 +32,19 @@ def build_staging(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def build_snapshots(
-    stg: Mapping[str, DataFrame], as_of: Column, previous: Mapping[str, DataFrame] | None = None
+def build_changes(
+    stg: Mapping[str, DataFrame], as_of: Column, open_rows: Mapping[str, DataFrame | None]
 ) -> dict[str, DataFrame]:
-    """Merge the staged rows into the previous history, if there is one."""
-    kept = previous or {}
-    merged = {
-        name: scd2.snapshot_timestamp(kept.get(name), stg[name], key, UPDATED_AT)
+    """What the staged rows change in each history, given its open versions (None or absent: first load)."""
+    changes = {
+        name: scd2.changes_timestamp(open_rows.get(name), stg[name], key, UPDATED_AT)
         for name, key in HISTORY_KEYS.items()
     }
     places = stg["geolocation"].select(*PLACE_COLUMNS)
-    merged["geolocation"] = scd2.snapshot_check(
-        kept.get("geolocation"), places, PLACE_KEY, PLACE_CHECKS, as_of
+    changes["geolocation"] = scd2.changes_check(
+        open_rows.get("geolocation"), places, PLACE_KEY, PLACE_CHECKS, as_of
     )
-    return merged
+    return changes
 
 
 def build_dims(

@@ -38,8 +38,33 @@ def test_rows_without_a_key_never_meet(spark):
 
 
 def test_a_repeated_key_is_refused(spark):
-    with pytest.raises(ValueError, match="repeats id: a"):
-        scd2.snapshot_timestamp(None, _people(spark, [("a", "x", T1), ("a", "y", T1), (None, "z", T1), (None, "z", T1)]), "id", "load_timestamp")
+    """The first load and a merge refuse it inside their own plan: nothing runs before the result is asked for."""
+    bad = _people(spark, [("a", "x", T1), ("b", "x", T1), ("a", "y", T1), (None, "z", T1), (None, "z", T1)])
+    good = scd2.snapshot_timestamp(None, bad.filter("id = 'b' OR id IS NULL"), "id", "load_timestamp")
+    assert good.count() == 3
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("refusal", "building the plans")
+    plans = [
+        scd2.snapshot_timestamp(None, bad, "id", "load_timestamp"), scd2.snapshot_timestamp(good, bad, "id", "load_timestamp"),
+        scd2.snapshot_check(good, bad, "id", ["city"], _at(T2)), scd2.changes_timestamp(good, bad, "id", "load_timestamp"),
+    ]
+    assert not tracker.getJobIdsForGroup("refusal")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for df in plans:
+        with pytest.raises(Exception, match="repeats id: a"):
+            df.select("city").collect()
+
+
+def test_the_merge_shuffles_each_side_once(spark):
+    """The check of repeated keys uses the shuffle that the join needs."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        prev = spark.createDataFrame([("a", "x", T1, "i", T1, T1, None)], "id string, city string, load_timestamp timestamp_ntz, "
+                                     "dbt_scd_id string, dbt_updated_at timestamp_ntz, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz")
+        merged = scd2.snapshot_timestamp(prev, _people(spark, [("a", "z", T2)]), "id", "load_timestamp")
+        assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_history_grows_by_one_version_per_load(spark):
