@@ -7,8 +7,11 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martloom.session import counted, materialize
 
 
 def _literal(value: Any) -> str:
@@ -157,100 +160,163 @@ _ROW_CONDITIONS = {
 }
 
 
-def _key(test: DataTest) -> str:
-    """SQL of the key a grouping or reference test counts; null where the row does not take part."""
-    takes_part = [f"({test.where})"] if test.where else []
+# Keys are kept in columns of two kinds: whole numbers as they are, everything else as text.
+_WHOLE, _TEXT = "whole", "text"
+
+
+def _kinds(df: DataFrame, columns: Sequence[str]) -> tuple[str, ...]:
+    return tuple(_WHOLE if isinstance(df.schema[c].dataType, T.IntegralType) else _TEXT for c in columns)
+
+
+@dataclass(frozen=True)
+class _Key:
+    """Values counted in one model: its columns, their kinds, and the rows that take part."""
+
+    columns: tuple[str, ...]
+    kinds: tuple[str, ...]
+    takes_part: str
+
+    def as_struct(self, number: int, width: int) -> str:
+        """SQL of one row ``number, whole0, text0, whole1, ...``; null where the row does not take part."""
+        fields = [f"'number', {number}"]
+        for i in range(width):
+            for kind, sql_type in ((_WHOLE, "BIGINT"), (_TEXT, "STRING")):
+                used = i < len(self.columns) and self.kinds[i] == kind
+                fields.append(f"'{kind}{i}', CAST({_name(self.columns[i]) if used else 'NULL'} AS {sql_type})")
+        return f"CASE WHEN {self.takes_part} THEN named_struct({', '.join(fields)}) END"
+
+
+def _slots(width: int) -> list[str]:
+    return [f"{kind}{i}" for i in range(width) for kind in (_WHOLE, _TEXT)]
+
+
+def _takes_part(test: DataTest) -> str:
+    conditions = [f"({test.where})"] if test.where else []
     if test.kind == "accepted_values":
-        takes_part.append(_outside(test.columns[0], test.args["values"]))
+        conditions.append(_outside(test.columns[0], test.args["values"]))
     elif test.kind != "unique_combination":
-        takes_part.append(f"{_name(test.columns[0])} IS NOT NULL")
-    texts = [f"CAST({_name(c)} AS STRING)" for c in test.columns]
-    key = texts[0]
-    if len(texts) > 1:
-        # Each part goes with its length, so different combinations never give the same text.
-        key = "concat(" + ", ".join(f"coalesce(concat(length({t}), ':', {t}), 'null')" for t in texts) + ")"
-    return f"CASE WHEN {' AND '.join(takes_part) or 'TRUE'} THEN {key} END"
-
-
-def _key_counts(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]) -> DataFrame:
-    """Rows per (test, key) over all models: one scan per model and one shuffle, combined map-side."""
-    keyed = []
-    for model in dict.fromkeys(t.model for t in tests.values()):
-        pairs = ", ".join(
-            f"named_struct('test_no', {i}, 'key', {_key(t)})" for i, t in tests.items() if t.model == model
-        )
-        keyed.append(tables[model].selectExpr(f"inline(array({pairs}))").filter("key IS NOT NULL"))
-    together = reduce(DataFrame.unionByName, keyed)
-    return together.groupBy("test_no", "key").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _parent_keys(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]) -> DataFrame:
-    """Every parent key once per test that refers to it."""
-    parents: dict[tuple[str, str], list[int]] = {}
-    for i, t in tests.items():
-        parents.setdefault((t.args["to"], t.args["field"]), []).append(i)
-    keys = [
-        tables[table].selectExpr(
-            f"explode(array({', '.join(map(str, numbers))})) AS test_no",
-            f"CAST({_name(field_name)} AS STRING) AS key",
-        )
-        for (table, field_name), numbers in parents.items()
+        conditions.append(f"{_name(test.columns[0])} IS NOT NULL")
+    return " AND ".join(conditions) or "TRUE"
+
+
+@dataclass
+class _Count:
+    """What the one scan of each model counts: keys by number, and which of them a test or a reference uses."""
+
+    keys: dict[str, dict[_Key, int]] = field(default_factory=dict)
+    of_test: dict[int, int] = field(default_factory=dict)
+    parent_of: dict[int, int] = field(default_factory=dict)
+
+    def number(self, model: str, key: _Key) -> int:
+        """Equal keys of a model are counted once, whoever asks."""
+        mine = self.keys.setdefault(model, {})
+        return mine.setdefault(key, sum(map(len, self.keys.values())))
+
+    @classmethod
+    def of(cls, tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]) -> _Count:
+        made = cls()
+        for i, t in tests.items():
+            kinds = _kinds(tables[t.model], t.columns)
+            if t.kind == "relationships":
+                parent = tables[t.args["to"]]
+                # Both sides in the same kind of column.
+                if kinds != _kinds(parent, (t.args["field"],)):
+                    kinds = (_TEXT,)
+                named = (t.args["field"],)
+                made.parent_of[i] = made.number(t.args["to"], _Key(named, kinds, f"{_name(named[0])} IS NOT NULL"))
+            made.of_test[i] = made.number(t.model, _Key(t.columns, kinds, _takes_part(t)))
+        return made
+
+
+def _scan(
+    df: DataFrame, rowwise: Mapping[int, DataTest], keys: Mapping[_Key, int], width: int
+) -> tuple[DataFrame, Observation | None]:
+    """The keys of one model as rows, and the failures of its single-row tests, which the same scan observes."""
+    conditions = [f"({t.where or 'TRUE'}) AND ({t.row_condition()})" for t in rowwise.values()]
+    structs = ", ".join(key.as_struct(number, width) for key, number in keys.items())
+    # Conditions and keys come first, so the scan reads just the columns they need.
+    narrow = df.selectExpr(
+        *[f"({c}) AS `{i}`" for i, c in zip(rowwise, conditions, strict=True)], *([f"array({structs}) AS keys"] if keys else [])
+    )
+    failures = None
+    if rowwise:
+        failures = Observation()
+        narrow = narrow.observe(failures, *[F.count_if(F.col(f"`{i}`")).alias(str(i)) for i in rowwise])
+    if keys:
+        return narrow.selectExpr("inline(array_compact(keys))"), failures
+    # Nothing to count, but the scan has to run.
+    empty = [f"CAST(NULL AS {'BIGINT' if c.startswith(_WHOLE) else 'STRING'}) AS {c}" for c in _slots(width)]
+    return narrow.groupBy().count().filter("count > 0").selectExpr("-1 AS number", *empty), failures
+
+
+def key_counts(
+    tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest], count: _Count
+) -> tuple[DataFrame, list[Observation]]:
+    """Rows per key over all models, and observations of the single-row failures: one scan per table, one shuffle.
+
+    Rows are combined within their task, so a hot key is one row of each task in the shuffle.
+    """
+    rowwise = {i: t for i, t in tests.items() if i not in count.of_test}
+    models = dict.fromkeys([t.model for t in tests.values()] + list(count.keys))
+    width = max((len(k.columns) for keys in count.keys.values() for k in keys), default=1)
+    scans = [
+        _scan(tables[m], {i: t for i, t in rowwise.items() if t.model == m}, count.keys.get(m, {}), width) for m in models
     ]
-    return reduce(DataFrame.unionByName, keys)
-
-
-def _row_failures(tables: Mapping[str, DataFrame], tests: Mapping[int, DataTest]) -> list[DataFrame]:
-    """Failures of the single-row tests: one pass per model for all of them."""
-    counts = []
-    for model in dict.fromkeys(t.model for t in tests.values()):
-        mine = {i: t for i, t in tests.items() if t.model == model}
-        failures = [
-            F.expr(f"count_if(({t.where or 'TRUE'}) AND ({t.row_condition()})) AS `{i}`") for i, t in mine.items()
-        ]
-        pairs = ", ".join(f"named_struct('test_no', {i}, 'failures', `{i}`)" for i in mine)
-        counts.append(tables[model].agg(*failures).selectExpr(f"inline(array({pairs}))"))
-    return counts
+    together = reduce(DataFrame.unionByName, [rows for rows, _ in scans])
+    return together.groupBy("number", *_slots(width)).agg(F.count(F.lit(1)).alias("n")), [o for _, o in scans if o]
+
+
+def _counted_failures(counts: DataFrame, tests: Mapping[int, DataTest], count: _Count) -> dict[int, int]:
+    """Failures of the tests that count keys, one row per test, from the stored counts."""
+    kinds = {i: tests[i].kind for i in count.of_test}
+
+    def tagged(numbers: Mapping[int, int], column: str) -> DataFrame:
+        """The counts once for each test that uses them."""
+        users: dict[int, list[int]] = {}
+        for test, number in numbers.items():
+            users.setdefault(number, []).append(test)
+        lists = F.create_map(*[F.lit(x) if i % 2 == 0 else F.array(*map(F.lit, x)) for pair in users.items() for i, x in enumerate(pair)])
+        return counts.filter(F.col("number").isin(*users)).withColumn(column, F.explode(F.element_at(lists, F.col("number"))))
+
+    found = []
+    plain = {i: n for i, n in count.of_test.items() if kinds[i] != "relationships"}
+    if plain:
+        repeats = [i for i in plain if kinds[i] in ("unique", "unique_combination")]
+        bad = tagged(plain, "test_no").filter(~F.col("test_no").isin(*repeats) | (F.col("n") > 1))
+        found.append(bad.groupBy("test_no").agg(F.count(F.lit(1)).alias("failures")))
+    if count.parent_of:
+        key = _slots(1)
+        children = tagged({i: count.of_test[i] for i in count.parent_of}, "test_no")
+        parents = tagged(count.parent_of, "test_no").select("test_no", *key)
+        same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key]
+        orphans = children.alias("c").join(
+            parents.alias("p"), (F.col("c.test_no") == F.col("p.test_no")) & same[0] & same[1], "left_anti"
+        )
+        found.append(orphans.groupBy("test_no").agg(F.sum("n").alias("failures")))
+    return {r["test_no"]: r["failures"] for r in reduce(DataFrame.unionByName, found).collect()} if found else {}
 
 
 def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> DataFrame:
     """One report row per test: model, test, column, failures, severity, status.
 
-    Each model is scanned twice, whatever the number of its tests: once for the single-row tests
-    and once for the tests that count keys. Keys are counted before they meet the parents, so a
-    hot key is one row there. Pass stored tables.
+    Each table is scanned once, be it a model, a parent or both: single-row failures are observed while the keys are counted.
+    The counts are stored and serve repeats, references and their parents alike; only a number per test reaches the driver.
+    The tests run when this is called.
     """
     numbered = dict(enumerate(suite))
-    rowwise = {i: t for i, t in numbered.items() if t.row_condition() is not None}
-    counting = {i: t for i, t in numbered.items() if i not in rowwise}
-    references = {i: t for i, t in counting.items() if t.kind == "relationships"}
-    repeats = [i for i, t in counting.items() if t.kind in ("unique", "unique_combination")]
-
-    found = _row_failures(tables, rowwise)
-    if counting:
-        counts = _key_counts(tables, counting)
-        is_reference = F.col("test_no").isin(*references)
-        bad = (~F.col("test_no").isin(*repeats)) | (F.col("n") > 1)
-        grouped = counts.filter(~is_reference & bad).groupBy("test_no")
-        found.append(grouped.agg(F.count(F.lit(1)).alias("failures")))
-        if references:
-            orphans = counts.filter(is_reference).join(
-                _parent_keys(tables, references), ["test_no", "key"], "left_anti"
-            )
-            found.append(orphans.groupBy("test_no").agg(F.sum("n").alias("failures")))
-
-    spark = next(iter(tables.values())).sparkSession
-    declared = spark.createDataFrame(
-        [(i, t.model, t.kind, t.label, t.severity) for i, t in numbered.items()],
-        "test_no int, model string, test string, column string, severity string",
-    )
-    failures = F.coalesce("failures", F.lit(0))
-    failed = F.when(F.col("severity") == "warn", "warn").otherwise("fail")
-    return declared.join(reduce(DataFrame.unionByName, found), "test_no", "left").select(
-        "test_no",
-        "model",
-        "test",
-        "column",
-        failures.alias("failures"),
-        "severity",
-        F.when(failures == 0, "pass").otherwise(failed).alias("status"),
+    count = _Count.of(tables, {i: t for i, t in numbered.items() if t.row_condition() is None})
+    failures = dict.fromkeys(numbered, 0)
+    if numbered:
+        counts, observed = key_counts(tables, numbered, count)
+        stored = materialize(counts, "test-keys")
+        for o in observed:
+            failures |= {int(i): n for i, n in counted(o).items()}
+        failures |= _counted_failures(stored, numbered, count)
+
+    def status(test: DataTest, n: int) -> str:
+        return "pass" if n == 0 else "warn" if test.severity == "warn" else "fail"
+
+    return next(iter(tables.values())).sparkSession.createDataFrame(
+        [(i, t.model, t.kind, t.label, failures[i], t.severity, status(t, failures[i])) for i, t in numbered.items()],
+        "test_no int, model string, test string, column string, failures long, severity string, status string",
     )

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -82,3 +82,8 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def counted(observation: Observation, *names: str) -> dict[str, int]:
+    """The observed counts. A plan that the optimizer finds to be empty reports none: they are zero."""
+    return observation.get if observation._jo.getRow().length() else dict.fromkeys(names, 0)

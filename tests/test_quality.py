@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.operators import quality as q
 from martloom.plans.catalog import Lake
@@ -66,3 +67,47 @@ def test_status_follows_severity(spark):
              q.DataTest("m", "unique", ("a",))]
     got = sorted((r.test_no, r.failures, r.status) for r in q.run_tests({"m": df}, suite).collect())
     assert got == [(0, 1, "fail"), (1, 1, "warn"), (2, 0, "pass")]
+
+
+def _scans(df):
+    return df._jdf.queryExecution().sparkPlan().toString().count("FileScan")
+
+
+def test_every_table_is_scanned_once(spark, sf_dir, tmp_path):
+    directory = str(tmp_path / "marts")
+    tables.write_frames(Lake(spark, sf_dir).marts, directory)
+    stored = tables.read_frames(spark, directory)
+    suite = dict(enumerate(mart_tests()))
+    count = q._Count.of(stored, {i: t for i, t in suite.items() if t.row_condition() is None})
+    counts, observed = q.key_counts(stored, suite, count)
+    used = {t.model for t in suite.values()} | {t.args["to"] for t in suite.values() if t.kind == "relationships"}
+    assert _scans(counts) == len(used) and len(observed) <= len(used)
+    # A parent's key that is tested itself is not counted again.
+    shared = [n for i, n in count.parent_of.items() if n in count.of_test.values()]
+    assert shared and sum(map(len, count.keys.values())) < len(count.of_test) + len(count.parent_of)
+
+
+def test_keys_of_any_type_and_nulls(spark):
+    child = spark.createDataFrame(
+        [(1, "1", None), (1, "1", None), (2, "x", 5), (None, None, 5), (9, "9", None)], "a int, b string, c long"
+    ).withColumn("d", F.lit("2020-01-01").cast("date"))
+    parent = spark.createDataFrame([(1, "1"), (2, "2"), (None, None)], "k long, t string")
+    frames = {"child": child, "parent": parent}
+    suite = [
+        q.DataTest("child", "relationships", ("a",), {"to": "parent", "field": "k"}),
+        q.DataTest("child", "relationships", ("a",), {"to": "parent", "field": "t"}),
+        q.DataTest("child", "relationships", ("b",), {"to": "parent", "field": "k"}),
+        q.DataTest("child", "relationships", ("b",), {"to": "parent", "field": "t"}, where="c IS NULL"),
+        q.DataTest("child", "unique_combination", ("a", "b", "c")), q.DataTest("child", "unique_combination", ("c",)),
+        q.DataTest("child", "unique_combination", ("d", "c")), q.DataTest("child", "unique", ("d",)), q.DataTest("parent", "unique", ("k",)),
+        q.DataTest("child", "accepted_values", ("b",), {"values": ["1"]}), q.DataTest("parent", "not_null", ("k",)),
+    ]
+    got = {r.test_no: r.failures for r in q.run_tests(frames, suite).collect()}
+    assert got == {0: 1, 1: 1, 2: 2, 3: 1, 4: 1, 5: 2, 6: 2, 7: 1, 8: 0, 9: 2, 10: 1}
+
+
+def test_only_single_row_tests_or_none(spark):
+    df = spark.createDataFrame([(None,), (1,)], "a int")
+    assert q.run_tests({"m": df}, [q.DataTest("m", "not_null", ("a",))]).first().failures == 1
+    assert q.run_tests({"m": df.limit(0)}, [q.DataTest("m", "not_null", ("a",)), q.DataTest("m", "unique", ("a",))]).collect()[0].failures == 0
+    assert q.run_tests({"m": df}, []).count() == 0

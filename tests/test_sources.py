@@ -96,6 +96,36 @@ def test_validation_and_report(spark, tmp_path):
     assert "load_date" in spark.read.parquet(str(tmp_path / "a_b_c")).columns
 
 
+def test_each_table_is_computed_once_and_bad_ones_leave_the_old(spark, tmp_path):
+    """Rows are counted where they are computed; the write is the only job that computes them."""
+    seen = {name: spark.sparkContext.accumulator(0) for name in ("good", "holes")}
+
+    def frame(name, missing):
+        count = seen[name]
+
+        def touch(batches):
+            for b in batches:
+                count.add(len(b))
+                yield b
+
+        return spark.range(100).selectExpr(f"CASE WHEN id >= {missing} THEN CAST(id AS STRING) END AS customer_id").mapInPandas(
+            touch, "customer_id string"
+        )
+
+    target = str(tmp_path / "out")
+    tables.load_report({"holes": spark.createDataFrame([("old",)], "customer_id string")}, target)
+    frames = {"good": frame("good", 0), "holes": frame("holes", 3), "none": spark.range(1).limit(0), "empty": spark.range(0)}
+    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id"))
+    report = {r["table"]: r for r in tables.load_report({**frames, "broken": broken}, target, strict=False).collect()}
+    assert {n: (r.status, r.rows) for n, r in report.items()} == {
+        "good": ("loaded", 100), "holes": ("skipped", None), "none": ("skipped", None), "empty": ("skipped", None), "broken": ("failed", None)
+    }
+    assert report["holes"].error == "null values in customer_id" and report["none"].error == report["empty"].error == "empty table"
+    assert {n: a.value for n, a in seen.items()} == {"good": 100, "holes": 100}
+    assert spark.read.parquet(f"{target}/holes").collect() == [("old",)]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["good", "holes"]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     from martloom.session import materialize, shared_dir
 
