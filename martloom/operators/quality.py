@@ -243,7 +243,7 @@ def _scan(
         failures = Observation()
         narrow = narrow.observe(failures, *[F.count_if(F.col(f"`{i}`")).alias(str(i)) for i in rowwise])
     if keys:
-        return narrow.selectExpr("inline(array_compact(keys))"), failures
+        return narrow.selectExpr("inline(keys)").filter("number IS NOT NULL"), failures
     # Nothing to count, but the scan has to run.
     empty = [f"CAST(NULL AS {'BIGINT' if c.startswith(_WHOLE) else 'STRING'}) AS {c}" for c in _slots(width)]
     return narrow.groupBy().count().filter("count > 0").selectExpr("-1 AS number", *empty), failures
@@ -267,33 +267,25 @@ def key_counts(
 
 
 def _counted_failures(counts: DataFrame, tests: Mapping[int, DataTest], count: _Count) -> dict[int, int]:
-    """Failures of the tests that count keys, one row per test, from the stored counts."""
-    kinds = {i: tests[i].kind for i in count.of_test}
-
-    def tagged(numbers: Mapping[int, int], column: str) -> DataFrame:
-        """The counts once for each test that uses them."""
-        users: dict[int, list[int]] = {}
-        for test, number in numbers.items():
-            users.setdefault(number, []).append(test)
-        lists = F.create_map(*[F.lit(x) if i % 2 == 0 else F.array(*map(F.lit, x)) for pair in users.items() for i, x in enumerate(pair)])
-        return counts.filter(F.col("number").isin(*users)).withColumn(column, F.explode(F.element_at(lists, F.col("number"))))
-
-    found = []
-    plain = {i: n for i, n in count.of_test.items() if kinds[i] != "relationships"}
-    if plain:
-        repeats = [i for i in plain if kinds[i] in ("unique", "unique_combination")]
-        bad = tagged(plain, "test_no").filter(~F.col("test_no").isin(*repeats) | (F.col("n") > 1))
-        found.append(bad.groupBy("test_no").agg(F.count(F.lit(1)).alias("failures")))
+    """Failures of the tests that count keys, from the stored counts. A number per test or reference is collected."""
+    repeats = {n for i, n in count.of_test.items() if tests[i].kind in ("unique", "unique_combination")}
+    listed = {n for i, n in count.of_test.items() if tests[i].kind == "accepted_values"}
+    number, here = F.col("number"), F.lit(-1).alias("parent")
+    several = counts.filter(number.isin(*listed) | (number.isin(*repeats) & (F.col("n") > 1)))
+    found = [several.groupBy("number", here).agg(F.count(F.lit(1)).alias("failures"))]
     if count.parent_of:
+        parents_of: dict[int, list[int]] = {}
+        for i, parent in count.parent_of.items():
+            parents_of.setdefault(count.of_test[i], []).append(parent)
+        lists = F.create_map(*[x for n, ps in parents_of.items() for x in (F.lit(n), F.array(*map(F.lit, sorted(set(ps)))))])
         key = _slots(1)
-        children = tagged({i: count.of_test[i] for i in count.parent_of}, "test_no")
-        parents = tagged(count.parent_of, "test_no").select("test_no", *key)
+        children = counts.filter(number.isin(*parents_of)).select("number", "n", *key, F.explode(lists[number]).alias("parent"))
+        parents = counts.filter(number.isin(*count.parent_of.values())).select(number.alias("parent"), *key)
         same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key]
-        orphans = children.alias("c").join(
-            parents.alias("p"), (F.col("c.test_no") == F.col("p.test_no")) & same[0] & same[1], "left_anti"
-        )
-        found.append(orphans.groupBy("test_no").agg(F.sum("n").alias("failures")))
-    return {r["test_no"]: r["failures"] for r in reduce(DataFrame.unionByName, found).collect()} if found else {}
+        orphans = children.alias("c").join(parents.alias("p"), (F.col("c.parent") == F.col("p.parent")) & same[0] & same[1], "left_anti")
+        found.append(orphans.groupBy("number", "parent").agg(F.sum("n").alias("failures")))
+    rows = {(r["number"], r["parent"]): r["failures"] for r in reduce(DataFrame.unionByName, found).collect()}
+    return {i: rows.get((n, count.parent_of.get(i, -1)), 0) for i, n in count.of_test.items()}
 
 
 def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> DataFrame:
