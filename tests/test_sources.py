@@ -152,3 +152,27 @@ def test_a_file_that_breaks_its_schema_is_skipped(spark, tmp_path):
     got = csv.read_csv_dir(spark, str(tmp_path), {n: schema for n in ("good", "bad", "other")})
     assert list(got) == ["good"] and got["good"].count() == 2
     assert csv.read_csv_table(spark, str(tmp_path / "quoted.csv"), multi_line=True).count() == 1
+
+
+def test_a_load_with_a_budget_reads_the_lines_once(spark, tmp_path):
+    """One pass over the lines: what it parses to is equal to what Spark's reader makes of the file, in any part file."""
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text('\ufeffid,price,name\n1,2.5,"a, ""b"""\n\n2,oops,b\n', encoding="utf-8")
+    (folder / "b.csv").write_text("id,price,name\n3,,é\n4,5\n5,1,c,d\n", encoding="utf-8")
+    schema = T.StructType.fromDDL("id long, price double, name string")
+    good, bad = csv.load_csv_with_bad_record_budget(spark, str(folder), schema, max_bad=3)
+    assert sorted(map(tuple, good.collect())) == [(1, 2.5, 'a, "b"'), (3, None, "é")]
+    assert sorted(r.record for r in bad.collect()) == ["2,oops,b", "4,5", "5,1,c,d"]
+    rows, _ = csv._parsed_lines(spark, str(folder), T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())]))
+    assert rows._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+    with pytest.raises(ValueError, match="3 bad rows exceed the budget of 2"):
+        csv.load_csv_with_bad_record_budget(spark, str(folder), schema, max_bad=2)
+    whole, none = csv.load_csv_with_bad_record_budget(spark, str(folder / "b.csv"), T.StructType.fromDDL("x string, y string, z string"))
+    assert whole.count() == 1 and none.count() == 2
+    (tmp_path / "only-header.csv").write_text("id,price,name\n")
+    good, bad = csv.load_csv_with_bad_record_budget(spark, str(tmp_path / "only-header.csv"), schema)
+    assert good.count() == bad.count() == 0 and good.columns == ["id", "price", "name"]
+    (tmp_path / "latin.csv").write_bytes("id,price,name\n1,2,é\n".encode("latin-1"))
+    with pytest.raises(ValueError, match="1 lines are not UTF-8"):
+        csv.load_csv_with_bad_record_budget(spark, str(tmp_path / "latin.csv"), schema)
