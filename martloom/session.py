@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -62,15 +66,40 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/martloom/{spark.sparkContext.applicationId}"
 
 
+_recorded: ContextVar[list[str] | None] = ContextVar("recorded", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    paths = _recorded.get()
+    if paths is not None:
+        paths.append(path)
+    return path
+
 
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The scratch paths made in this block, so that they can be dropped when what was built from them is stored."""
+    paths: list[str] = []
+    token = _recorded.set(paths)
+    try:
+        yield paths
+    finally:
+        _recorded.reset(token)
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Remove what this application stored in the shared folder. Call it when its frames are done with."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+def drop_scratch(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Remove the given scratch paths, or all that this application stored in the shared folder.
+
+    Call it when the frames that read them are done with. Shuffle files go when the driver's collector finds their frames
+    unused, so it is asked to look.
+    """
+    for name in [_scratch_root(spark)] if paths is None else paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def materialize(df: DataFrame, name: str = "frame") -> DataFrame:

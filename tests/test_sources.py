@@ -135,6 +135,21 @@ def test_shared_folder_comes_from_the_session(spark):
     assert kept.count() == 4 and shared_dir(spark) in kept.inputFiles()[0]
 
 
+def test_recorded_scratch_is_dropped_alone(spark):
+    from martloom.session import drop_scratch, materialize, recorded_scratch
+
+    kept = materialize(spark.range(3))
+    with recorded_scratch() as paths:
+        gone = materialize(spark.range(4))
+        stored = materialize(gone.filter("id > 0"))
+    outside = materialize(spark.range(5))
+    assert len(paths) == 2 and all(any(f.startswith(("file:" + p, "file://" + p, p)) for p in paths) for f in gone.inputFiles())
+    drop_scratch(spark, [p for p in paths if not any(p in f for f in stored.inputFiles())])
+    assert (kept.count(), stored.count(), outside.count()) == (3, 3, 5)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|not exist"):
+        spark.read.schema("id long").parquet(paths[0]).count()
+
+
 def test_bad_rows_stay_bad_whatever_is_selected(spark, tmp_path):
     (tmp_path / "t.csv").write_text("id,price,name\n1,2.5,a\n2,oops,b\n3,4,c\n4,5,d,e\n")
     schema = "id long, price double, name string"
