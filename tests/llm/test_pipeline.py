@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import corpus_pipeline
 import public_tokenizers
 from test_near_dedup import brute_force as near_groups
 from tokenizers import Tokenizer
 
+from martloom.llm.common import materialize
+
 
 def test_stages(spark, sf_dir):
     labels = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, seen = docs.columns, []
     for _, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, sf_dir).cache()
+        docs = materialize(stage(spark, docs, sf_dir), "test-stage")
         seen.append(docs.collect())
         assert stage is corpus_pipeline.stage_bpe or docs.columns == columns
     good, exact, near, mixed, encoded = seen
@@ -45,8 +48,32 @@ def test_stages(spark, sf_dir):
         assert r.ids == library.encode(known[r.doc_id].text or "", add_special_tokens=False).ids and r.decodes
 
 
+def test_only_results_stay_in_the_shared_folder(spark, sf_dir, tmp_path):
+    """Folders of a stage are gone once the next has begun, and a stage's documents stay readable."""
+    app = spark.sparkContext.applicationId
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        before = list(corpus_pipeline._left.get(app, []))
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(f"{tmp_path}/{name}")
+        assert not any(Path(p.removeprefix("file:")).exists() for p in before)
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    # A result that is not stored keeps what it reads.
+    lazily = corpus_pipeline.stage_exact(spark, corpus_pipeline.stage_exact(spark, docs, sf_dir), sf_dir)
+    assert lazily.count() == docs.count()
+
+
+def test_odd_documents(spark, sf_dir, tmp_path):
+    rows = [(1, None, None, None), (2, "", "en", "web"), (3, "a b\x0bc", "en", None), (3, "a b\x0bc", "en", None), (None, "tie", None, "web")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "1 AS size", "2 AS `a.b`", "true AS KEPT")
+    for some in (docs, docs.limit(0)):
+        for n, (_, stage) in enumerate(corpus_pipeline.STAGES[1:]):
+            some = materialize(stage(spark, some, sf_dir), f"odd-{n}")
+            assert n == 3 or some.columns == docs.columns
+
+
 def test_registered(spark):
     import __spark_entry__ as driver
 
     names = driver.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
