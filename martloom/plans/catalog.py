@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime
-from functools import cached_property, partial
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,10 @@ from martloom.operators import (
 )
 from martloom.operators.features import CUSTOMER, FEATURES
 from martloom.plans import fixtures, marts, oracles
+from martloom.plans.elt import SEED
+from martloom.plans.full import run_full
 from martloom.plans.oracles import GRID_COLS, UNITS, r6, with_pieces
+from martloom.plans.segmentation import SegmentationConfig, run_segmentation
 from martloom.plans.suite import STATES, mart_tests
 from martloom.session import materialize, scratch_path
 from martloom.sources import csv, history, tables
@@ -226,12 +229,24 @@ def _write_csv(df: DataFrame, path: str) -> None:
 # --- Sources and sinks -------------------------------------------------------------------------
 
 
-@register("read_csv_dir", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+@register(
+    "read_csv_dir",
+    """SELECT 'documents' AS name, doc_id AS id, text, lang AS a, source AS b, n_chars AS number, CAST(NULL AS DOUBLE) AS price
+       FROM documents
+       UNION ALL SELECT 'orders', o_orderkey, NULL, o_orderstatus, o_orderpriority, o_custkey, o_totalprice FROM orders""",
+)
 def _(lake: Lake) -> DataFrame:
+    """All rows of both tables of a directory."""
     directory = scratch_path(lake.spark, "csv")
     for name in ("documents", "orders"):
         _write_csv(lake.given(name), f"{directory}/{name}.csv")
-    return csv.read_csv_dir(lake.spark, directory, multi_line={"documents"})["documents"]
+    found = csv.read_csv_dir(lake.spark, directory, multi_line={"documents"})
+    docs = found["documents"].selectExpr(
+        "'documents' AS name", "doc_id AS id", "text", "lang AS a", "source AS b", "n_chars AS number", "CAST(NULL AS DOUBLE) AS price"
+    )
+    return docs.union(
+        found["orders"].selectExpr("'orders'", "o_orderkey", "NULL", "o_orderstatus", "o_orderpriority", "o_custkey", "o_totalprice")
+    )
 
 
 def _orders_with_bad_prices(lake: Lake) -> tuple[DataFrame, DataFrame]:
@@ -279,11 +294,21 @@ def _(lake: Lake) -> DataFrame:
     return tables.write_table(lake.raw["orders"], scratch_path(lake.spark, "table"))
 
 
-@register("write_frames", "SELECT * FROM raw_order_items")
+_ITEM_COLUMNS = "order_id", "product_id AS other_id", "CAST(order_item_id AS STRING) AS detail", "price", "load_timestamp"
+_ORDER_COLUMNS = "order_id", "customer_id AS other_id", "order_status AS detail", "CAST(NULL AS DOUBLE) AS price", "load_timestamp"
+
+
+@register(
+    "write_frames",
+    f"SELECT 'order_items' AS name, {', '.join(_ITEM_COLUMNS)} FROM raw_order_items "
+    f"UNION ALL SELECT 'orders' AS name, {', '.join(_ORDER_COLUMNS)} FROM raw_orders".replace("AS STRING", "AS VARCHAR"),
+)
 def _(lake: Lake) -> DataFrame:
+    """All rows of both tables as they were written."""
     directory = scratch_path(lake.spark, "frames")
     tables.write_frames({n: lake.raw[n] for n in ("order_items", "orders")}, directory)
-    return lake.spark.read.parquet(f"{directory}/order_items.parquet")
+    items, orders = (lake.spark.read.parquet(f"{directory}/{n}.parquet") for n in ("order_items", "orders"))
+    return items.selectExpr("'order_items' AS name", *_ITEM_COLUMNS).union(orders.selectExpr("'orders' AS name", *_ORDER_COLUMNS))
 
 
 @register(
@@ -322,11 +347,13 @@ def _(lake: Lake) -> DataFrame:
 # --- Cleaning ----------------------------------------------------------------------------------
 
 
-@register("drop_exact_duplicates", "SELECT DISTINCT o_orderdate, o_orderstatus, o_orderpriority FROM orders")
+@register("drop_exact_duplicates", "SELECT DISTINCT * FROM orders")
 def _(lake: Lake) -> DataFrame:
-    return cleaning.drop_exact_duplicates(
-        lake.given("orders").select("o_orderdate", "o_orderstatus", "o_orderpriority")
-    )
+    """Whole orders, some of them there up to seven times."""
+    orders = lake.given("orders")
+    copies = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % 7).otherwise(0).cast("int")
+    repeated = orders.withColumn("copy", F.explode(F.sequence(F.lit(0), copies))).drop("copy")
+    return cleaning.drop_exact_duplicates(repeated)
 
 
 @register(
@@ -940,3 +967,52 @@ def _(lake: Lake) -> DataFrame:
 @register("segment_distribution", "SELECT segment_id, count(*) AS n_customers FROM segments GROUP BY segment_id")
 def _(lake: Lake) -> DataFrame:
     return publish.segment_distribution(lake.segments)
+
+
+# --- Whole jobs --------------------------------------------------------------------------------
+
+
+_MODERATE = SegmentationConfig("moments", squared_limit=0.5, m=20, n=10)
+
+
+@register(
+    "trained_verdict",
+    """SELECT count(*) AS customers, count(*) AS segmented, true AS k_in_range, true AS verdict_follows_limits, true AS published_follows
+       FROM features""",
+)
+def _(lake: Lake) -> DataFrame:
+    """Features, map, K-Means on its units, elbow, segments and gate, all trained on the customers at hand."""
+    done = run_segmentation(lake.marts, None, _MODERATE, NOW)
+    verdict = done.verdict.select(F.struct("*").alias("v")).scalar()
+    limits = {**publish.LIMITS, "silhouette": _MODERATE.squared_limit}
+    within = (verdict["silhouette"] >= limits["silhouette"]) & F.lit(True)
+    for metric in ("davies_bouldin", "quantization_error", "topographic_error"):
+        within = within & (verdict[metric] <= limits[metric])
+    published = done.dim_customer_segmented.agg(F.count("*")).scalar()
+    return done.segments.agg(
+        F.count("*").alias("customers"), F.count("segment_id").alias("segmented"),
+        (F.count_distinct("segment_id") <= F.lit(done.k)).alias("k_in_range"),
+        (within == verdict["accepted"]).alias("verdict_follows_limits"),
+        (published == F.when(verdict["accepted"], F.count("*")).otherwise(0)).alias("published_follows"),
+    )
+
+
+_STORED = ("dim_customer", "dim_product", "dim_seller", "fact_orders", "fact_sales", "fact_payments", "fact_reviews")
+
+
+@register(
+    "run_full",
+    " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM {n}" for n in _STORED)
+    + " UNION ALL SELECT 'segments', count(*) FROM features",
+)
+def _(lake: Lake) -> DataFrame:
+    """From CSV files to segments; rows of the stored tables."""
+    directory, warehouse = scratch_path(lake.spark, "full-csv"), scratch_path(lake.spark, "full-warehouse")
+    for name, df in fixtures.raw_tables(lake.spark, lake.sf_dir).items():
+        table = SEED if name == "translation" else name
+        _write_csv(df.drop("load_timestamp"), f"{directory}/{table}.csv")
+    # The given prices lie beyond what the tests allow, so the report is left unheeded here.
+    done = run_full(lake.spark, directory, warehouse, _MODERATE, now=NOW, on_failure="report")
+    frames = {**{n: done.elt.marts[n] for n in _STORED}, "segments": done.segmentation.segments}
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n") for n, df in frames.items()]
+    return reduce(DataFrame.union, counts)
