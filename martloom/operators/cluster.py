@@ -27,6 +27,8 @@ MAX_ITERATIONS, TOLERANCE = 300, 1e-4
 
 # Exact silhouette: rows per tile. A pair of tiles is one group and holds this many rows twice.
 TILE_ROWS = 16_384
+# Scores hold one entry per cluster in every task; more clusters than this are refused.
+MAX_LABELS = 10_000
 
 
 def _array(cols: Sequence[str]) -> Column:
@@ -129,6 +131,13 @@ def _points(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     return df.select(F.col(label).alias("label"), _array(cols).alias("v"))
 
 
+def _gathered(per_label: DataFrame, gather: Column) -> Column:
+    """One value made of a row per cluster, as a subquery; an error if there are too many."""
+    few = per_label.limit(MAX_LABELS + 1)
+    refused = F.raise_error(F.lit(f"more than {MAX_LABELS} clusters"))
+    return few.agg(F.when(F.count(F.lit(1)) <= MAX_LABELS, gather).otherwise(refused).alias("m")).scalar()
+
+
 def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """Mean over clusters of the worst (spread + spread) / distance of centroids; -1 below two clusters.
 
@@ -137,7 +146,7 @@ def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """
     points = _points(df, cols, label)
     means = points.groupBy("label").agg(F.expr(f"array({', '.join(f'avg(v[{d}])' for d in range(len(cols)))}) AS c"))
-    by_label = means.agg(F.map_from_entries(F.collect_list(F.struct("label", "c"))).alias("m")).scalar()
+    by_label = _gathered(means, F.map_from_entries(F.collect_list(F.struct("label", "c"))))
     spread = (
         points.withColumn("c", F.element_at(by_label, F.col("label")))
         .select("label", _distance(F.col("v"), F.col("c")).alias("d"))
@@ -145,7 +154,7 @@ def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
         .agg(F.avg("d").alias("s"))
         .withColumn("c", F.element_at(by_label, F.col("label")))
     )
-    clusters = spread.agg(F.collect_list(F.struct("label", "s", "c")).alias("all")).scalar()
+    clusters = _gathered(spread, F.collect_list(F.struct("label", "s", "c")))
     spread = spread.withColumn("all", clusters)
     worst = F.array_max(
         F.transform(
@@ -163,7 +172,7 @@ def _silhouette_of_sums(sums: DataFrame, sizes: DataFrame) -> DataFrame:
 
     ``sizes`` is one row per cluster and reaches the sums as a map.
     """
-    by_label = sizes.agg(F.map_from_entries(F.collect_list(F.struct("label", "size"))).alias("m")).scalar()
+    by_label = _gathered(sizes, F.map_from_entries(F.collect_list(F.struct("label", "size"))))
     own = F.col("own") == F.col("other")
     size = F.element_at(by_label, F.col("other"))
     per_row = sums.groupBy("row", "own", "copies").agg(
@@ -190,7 +199,9 @@ def silhouette_exact(df: DataFrame, cols: Sequence[str], label: str) -> DataFram
     merged = points.groupBy("label", "v").agg(F.count(F.lit(1)).alias("copies"))
     distinct = materialize(merged.withColumn("row", F.monotonically_increasing_id()), "silhouette-rows")
     sizes = distinct.groupBy("label").agg(F.sum("copies").alias("size"))
-    labels = sorted(r["label"] for r in sizes.select("label").collect())
+    labels = sorted(r["label"] for r in sizes.select("label").limit(MAX_LABELS + 1).collect())
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} clusters")
     tiles = max(1, math.ceil(distinct.count() / TILE_ROWS))
 
     tiled = distinct.withColumn("tile", F.pmod(F.xxhash64("row"), F.lit(tiles)).cast("int"))

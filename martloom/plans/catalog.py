@@ -933,6 +933,7 @@ def _(lake: Lake) -> DataFrame:
     return rounded(cluster.silhouette_squared(lake.labelled, FEATURES, "segment_id"), "silhouette_squared")
 
 
+# The gate's messages.
 _REASONS = {
     "silhouette": "CASE WHEN silhouette < 0.6 THEN printf('Silhouette Score (%.4f) below threshold (0.6).', silhouette) END",
     "davies_bouldin": "CASE WHEN davies_bouldin > 0.75 THEN printf('Davies-Bouldin Index (%.4f) above threshold (0.75).', davies_bouldin) END",
@@ -956,6 +957,7 @@ def _(lake: Lake) -> DataFrame:
     return rounded(publish.publish_segmented(lake.segments, lake.verdict), *FEATURES)
 
 
+# The segments' names and descriptions.
 @register(
     "dim_segment",
     """SELECT segment_id, CASE segment_id WHEN 0 THEN 'The Vast Unengaged / Lapsed Base'

@@ -165,6 +165,15 @@ def test_single_cluster_scores(spark):
     assert cluster.davies_bouldin(single, COLS, "label").first()[0] == -1.0
 
 
+def test_too_many_clusters_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "MAX_LABELS", 1)
+    df, _ = _blobs(spark, n=6)
+    with pytest.raises(Exception, match="more than 1 clusters"):
+        cluster.davies_bouldin(df, COLS, "label").collect()
+    with pytest.raises(ValueError, match="more than 1 clusters"):
+        cluster.silhouette_exact(df, COLS, "label")
+
+
 def test_davies_bouldin(spark):
     df, points = _blobs(spark)
     labels = np.arange(len(points)) % 2
