@@ -9,27 +9,33 @@ document starts.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
+import sys
+import types
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import col, materialize
+from martloom.llm.bpe import byte_alphabet
+from martloom.llm.common import col, materialize, slices
 from martloom.llm.files import AtomicFile, store
 
 SEQUENCE = 2048
 SEQUENCES_PER_BATCH = 256
 END = 2
-# Runs, and parts of runs, that a task remembers, and bytes of text it encodes at a time.
-REMEMBERED = 300_000
+# Runs, and parts of runs, that a Python worker remembers from task to task, and bytes of text it encodes at a time.
+REMEMBERED_RUNS, REMEMBERED_PARTS = 600_000, 300_000
 BYTES_AT_ONCE = 8 << 20
 FILE = "tokens-{:06d}.arrow"
 
@@ -44,20 +50,19 @@ class SequenceWriter:
         self.schema = pa.schema([pa.field("tokens", self.kind), pa.field("mask", self.mask)])
         self.file = AtomicFile(uri, attempt)
         self.writer = pa.ipc.new_file(self.file.sink, self.schema)
-        self.parts: list[bytes] = []
+        self.parts: list[np.ndarray] = []
         self.waiting = self.total = 0
         self.batch = length * SEQUENCES_PER_BATCH
 
-    def append(self, ids: bytes) -> None:
-        n = len(ids) // np.dtype(self.width).itemsize
+    def append(self, ids: np.ndarray) -> None:
         self.parts.append(ids)
-        self.waiting += n
-        self.total += n
+        self.waiting += len(ids)
+        self.total += len(ids)
         if self.waiting >= self.batch:
             self._write(last=False)
 
     def _write(self, last: bool) -> None:
-        ids = np.frombuffer(b"".join(self.parts), self.width)
+        ids = np.concatenate([np.zeros(0, self.width), *self.parts])
         whole = len(ids) if last else len(ids) // self.batch * self.batch
         for start in range(0, whole, self.batch):
             here = ids[start : min(start + self.batch, whole)]
@@ -72,7 +77,7 @@ class SequenceWriter:
                     schema=self.schema,
                 )
             )
-        self.parts, self.waiting = [ids[whole:].tobytes()], len(ids) - whole
+        self.parts, self.waiting = [ids[whole:].copy()], len(ids) - whole
 
     def close(self) -> None:
         self._write(last=True)
@@ -112,11 +117,16 @@ class WordEncoder:
 
     Its model cuts texts at white space and then into letters, digits and the rest, and normalises each
     character in its place. So runs can be encoded one by one, and a run without apostrophes and marks of special
-    tokens in parts: if it is ASCII at each change of class, else before the punctuation at its end.
+    tokens in parts: if it is ASCII at each change of class, else before the punctuation at its end. A part that is
+    surely one piece of one class in normal form goes to the library's model at once, any other through all its steps.
     """
 
     CLASSES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
     TAIL = re.compile(rb"[.,;:!?%&*#$|]+$")
+    # One piece: lower-case letters, a digit, or visible characters but for the apostrophe and the mark of special tokens.
+    PIECE = re.compile(rb"[a-z]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+")
+    # Letters below U+0180 stand for themselves in the normal form, and all but one stay one letter in lower case.
+    LETTERS = re.compile("[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]+")
 
     def __init__(self, content: str, width: type):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -125,10 +135,14 @@ class WordEncoder:
         self.tokenizer, self.kind = Tokenizer.from_str(content), "H" if width is np.uint16 else "I"
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.letters = str.maketrans({byte: letter for letter, byte in byte_alphabet().items()})
         self.known: dict[bytes, bytes] = {}
         self.known_parts: dict[bytes, bytes] = {}
 
     def _parts(self, run: bytes) -> list[bytes]:
+        if run.isalpha():
+            return [run.lower()]
         if b"<" in run or b"'" in run:
             return [run]
         if run.isascii():
@@ -139,17 +153,68 @@ class WordEncoder:
             return [run[: tail.start()], tail.group()]
         return [run]
 
-    def batch(self, texts: list[bytes]) -> list[bytes]:
-        runs = [t.split() for t in texts]
-        for memory in (self.known, self.known_parts):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-        new = {r: self._parts(r) for r in set().union(*runs).difference(self.known)}
-        parts = list(set().union(*new.values()).difference(self.known_parts))
-        encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in parts], add_special_tokens=False)
-        self.known_parts.update((p, array(self.kind, e.ids).tobytes()) for p, e in zip(parts, encoded, strict=True))
-        self.known.update((r, b"".join(map(self.known_parts.__getitem__, p))) for r, p in new.items())
-        return [b"".join(map(self.known.__getitem__, r)) for r in runs]
+    def _encode(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each part with its ids."""
+        others = []
+        for part in parts:
+            if self.PIECE.fullmatch(part):
+                piece = part.decode()
+            else:
+                text = part.decode("utf-8", "replace")
+                if not self.LETTERS.fullmatch(text):
+                    others.append((part, text))
+                    continue
+                piece = text.lower().encode().decode("latin-1").translate(self.letters)
+            yield part, array(self.kind, [t.id for t in self.model.tokenize(piece)]).tobytes()
+        encoded = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)
+        for (part, _), e in zip(others, encoded, strict=True):
+            yield part, array(self.kind, e.ids).tobytes()
+
+    def _ids(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of distinct runs."""
+        for memory, most in ((self.known, REMEMBERED_RUNS), (self.known_parts, REMEMBERED_PARTS)):
+            if len(memory) > most:
+                # The older half goes.
+                for key in list(islice(memory, len(memory) // 2)):
+                    del memory[key]
+        new = [(r, self._parts(r)) for r in runs if r not in self.known]
+        self.known_parts.update(self._encode(list({p for _, parts in new for p in parts if p not in self.known_parts})))
+        of = self.known_parts.__getitem__
+        self.known.update((r, of(parts[0]) if len(parts) == 1 else b"".join(map(of, parts))) for r, parts in new)
+        return list(map(self.known.__getitem__, runs))
+
+    def batch(self, texts: pa.Array, end: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of binary texts in a row, ``end`` behind each, and where each text's begin, the end of all at last."""
+        # As bytes are only cut at ASCII blanks, they need not be valid text.
+        wide = texts.cast(pa.large_binary())
+        plain = pa.LargeStringArray.from_buffers(len(wide), *wide.buffers()[1:], offset=wide.offset)
+        runs = pc.ascii_split_whitespace(plain)
+        distinct = pc.dictionary_encode(runs.flatten())
+        coded = self._ids(distinct.dictionary.cast(pa.large_binary()).to_pylist())
+        tail = np.array(end or [], self.kind)
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // tail.itemsize
+        starts = np.cumsum(lengths) - lengths
+        which = distinct.indices.to_numpy()
+        ends = np.cumsum(lengths[which])
+        places = np.repeat(starts[which] - (ends - lengths[which]), lengths[which])
+        places += np.arange(len(places))
+        ids = np.frombuffer(b"".join(coded), self.kind)[places]
+        bounds = runs.offsets.to_numpy()
+        bounds = np.concatenate([[0], ends])[bounds - bounds[0]]
+        ids = np.insert(ids, np.repeat(bounds[1:], len(tail)), np.tile(tail, len(texts)))
+        return ids, bounds + np.arange(len(bounds)) * len(tail)
+
+
+def _kept_encoder(content: str, width: type) -> WordEncoder:
+    """This Python worker's encoder with what it remembers, made anew only for another tokenizer.
+
+    Tasks get this module by value, so the encoder is kept under a module name of its own.
+    """
+    kept = sys.modules.setdefault("_martloom_word_encoder", types.ModuleType("_martloom_word_encoder")).__dict__
+    key = (hashlib.sha256(content.encode()).digest(), np.dtype(width).name)
+    if kept.get("key") != key:
+        kept.update(key=key, encoder=WordEncoder(content, width))
+    return kept["encoder"]
 
 
 def _checked(content: str) -> type:
@@ -161,6 +226,12 @@ def _checked(content: str) -> type:
         *tokenizer.encode("a", add_special_tokens=False).ids, *tokenizer.encode("b", add_special_tokens=False).ids
     ]:
         raise ValueError("a tokenizer that drops white space is needed")
+    # Parts that are sent to the model at once must come out as they do through all steps.
+    encoder = WordEncoder(content, np.uint32)
+    samples = ["hello", "7", "...", "\xc9l\xe8ve", "\xdcber\xdf", "\u0179\u0105b", "\xb5\xba"]
+    for (_, direct), text in zip(encoder._encode([t.encode() for t in samples]), samples, strict=True):
+        if np.frombuffer(direct, np.uint32).tolist() != encoder.tokenizer.encode(text, add_special_tokens=False).ids:
+            raise ValueError("a byte-level model with lower-case letters is needed")
     return np.uint16 if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
 
 
@@ -176,11 +247,12 @@ def write_sequences(
     * A null text is empty and has the end id alone. Null ids come first.
     * Rows that repeat an id follow each other in the order of a hash of their texts.
     * An empty table writes no file.
+    * A text of any length is encoded whole; one longer than ``BYTES_AT_ONCE`` is encoded alone.
+    * Other columns of ``docs`` are not read, whatever their names.
     """
     with open(tokenizer, encoding="utf-8") as f:
         content = f.read()
     width = _checked(content)
-    end_id = np.array([end], width).tobytes()
     rows = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
     tie = F.xxhash64("text")
     # The hash spreads rows that share an id, or have none, over several ranges.
@@ -192,28 +264,20 @@ def write_sequences(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        writer, encoder = None, WordEncoder(content, width)
+        writer, encoder = None, _kept_encoder(content, width)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            start = 0
-            while start < len(texts):
-                stop, size = start, 0
-                while stop < len(texts) and (stop == start or size + len(texts[stop]) <= BYTES_AT_ONCE):
-                    size, stop = size + len(texts[stop]), stop + 1
+            for part in slices(batch, "text", limit=BYTES_AT_ONCE):
                 writer = writer or SequenceWriter(
                     f"{out}/{FILE.format(task.partitionId())}", task.taskAttemptId(), width, length
                 )
-                places, counts = [], []
-                for ids in encoder.batch(texts[start:stop]):
-                    places.append(writer.total)
-                    writer.append(ids + end_id)
-                    counts.append(writer.total - places[-1])
+                ids, bounds = encoder.batch(part.column("text"), [end])
+                places = writer.total + bounds
+                writer.append(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(start, stop - start), pa.array([task.partitionId()] * len(places), pa.int32()),
-                     pa.array(places, pa.int64()), pa.array(counts, pa.int64())],
+                    [part.column("id"), pa.array([task.partitionId()] * part.num_rows, pa.int32()),
+                     pa.array(places[:-1], pa.int64()), pa.array(np.diff(places), pa.int64())],
                     names=schema.names,
                 )
-                start = stop
         if writer:
             writer.close()
 

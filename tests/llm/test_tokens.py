@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -69,8 +70,29 @@ def test_word_encoder_equals_library_on_random_strings():
     parts = [*"abZEst'!_19 \n\t.,%&<>|", "'s", "'S", "\x1c", "\x01", "\x85", "\xa0", "é", "É", "ñ", "中", "́", "̱", "²", "İ", "Σ",
              "<|endoftext|>", "<|ENDOFTEXT|>", "😀", "‍", " ", "the", "Tion", "thinger", "ĳ", "ﬁ", "…", "—"]
     texts = ["".join(draw.choices(parts, k=draw.randint(0, 20))) for _ in range(6000)]
-    for text, ids in zip(texts, encoder.batch([t.encode() for t in texts]), strict=True):
-        assert np.frombuffer(ids, np.uint16).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    rows = pa.array([b"not read", *(t.encode() for t in texts)]).slice(1)
+    ids, bounds = encoder.batch(rows, [2])
+    assert len(bounds) == len(texts) + 1 and bounds[-1] == len(ids)
+    for text, start, stop in zip(texts, bounds, bounds[1:]):
+        assert ids[start:stop].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], text
+
+
+def test_word_encoder_forgets_and_goes_on(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED_RUNS", 20)
+    monkeypatch.setattr(token_files, "REMEMBERED_PARTS", 10)
+    library = Tokenizer.from_file(WORD_BPE)
+    content = open(WORD_BPE, encoding="utf-8").read()
+    encoder = token_files._kept_encoder(content, np.uint16)
+    assert token_files._kept_encoder(content, np.uint16) is encoder
+    assert token_files._kept_encoder(content, np.uint32) is not encoder
+    for n in range(30):
+        text = " ".join(f"Word{i}, {i}! \u00c9l{i}\u00e8ve" for i in range(n, n + 9))
+        ids, _ = encoder.batch(pa.array([text.encode()]))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.known) < 60
+    for nothing in ([], [b""], [b" ", b"\n"]):
+        ids, bounds = encoder.batch(pa.array(nothing, pa.binary()), [2])
+        assert ids.tolist() == [2] * len(nothing) and bounds.tolist() == list(range(len(nothing) + 1))
 
 
 def test_token_query(spark, sf_dir, documents):
