@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
+from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -24,6 +23,8 @@ SENSITIVITY = 1.0
 DEFAULT_K = 3
 SEED = 42
 MAX_ITERATIONS, TOLERANCE = 300, 1e-4
+# The sweep's start: scans that draw candidates, and clusterings of these that are tried for each k.
+DRAWS, STARTS = 5, 10
 
 # Exact silhouette: rows per tile. A pair of tiles is one group and holds this many rows twice.
 TILE_ROWS = 16_384
@@ -61,19 +62,131 @@ def kmeans_fit(
     return model, model.transform(prepared).drop("_features")
 
 
-def kmeans_sweep(
-    df: DataFrame, cols: Sequence[str], ks: Sequence[int] = K_RANGE, seed: int = SEED, parallelism: int = 4
-) -> DataFrame:
-    """Inertia for each k. The frame is computed once for all fits, a few of which run at a time."""
-    kept = materialize(df.select(*cols), "sweep-rows")
-    variance = _mean_variance(kept, cols)
+def _drawn(rows: DataFrame, cols: Sequence[str], found: np.ndarray, n: int, seed: int, step: int) -> np.ndarray:
+    """``n`` rows drawn without repeats, each by its squared distance to the nearest of ``found``.
 
-    def cost(k: int) -> tuple[int, float]:
-        return k, float(kmeans_fit(kept, cols, k, seed, variance)[0].summary.trainingCost)
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        costs = list(pool.map(inheritable_thread_target(df.sparkSession)(cost), ks))
-    return df.sparkSession.createDataFrame(costs, "k int, sse double")
+    Every row gets an exponential key whose rate is its weight, and the smallest keys win, so a task returns ``n`` rows at most.
+    """
+    # Rounding errors must not make a row that has been found likely again.
+    nil = 1e-12 * (1.0 + float((found * found).sum(axis=1).max()))
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        draw = np.random.default_rng([seed, step, TaskContext.get().partitionId()])
+        best, keys = np.zeros((0, len(cols))), np.zeros(0)
+        for batch in batches:
+            for x in vectors.blocks(batch.to_numpy(dtype=float)):
+                away = vectors.squared_distances(x, found).min(axis=1)
+                key = draw.standard_exponential(len(x)) / np.where(away > nil, away, 1.0)
+                best, keys = np.vstack([best, x[away > nil]]), np.concatenate([keys, key[away > nil]])
+                first = np.argsort(keys, kind="stable")[:n]
+                best, keys = best[first], keys[first]
+        yield pd.DataFrame(best, columns=list(cols)).assign(_key=keys)
+
+    schema = ", ".join(f"`{c}` double" for c in cols) + ", _key double"
+    won = rows.mapInPandas(keyed, schema).orderBy("_key").limit(n).collect()
+    return np.array([r[:-1] for r in won], dtype=float).reshape(-1, len(cols))
+
+
+def _centre_sums(rows: DataFrame, cols: Sequence[str], centres: Mapping[int, np.ndarray]) -> dict[int, tuple]:
+    """One scan for several sets of centres: per set the number of rows, their sums and their squared distances by nearest centre."""
+    width = len(cols)
+    names = ["n", "cost", *[f"s{d}" for d in range(width)]]
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        every = np.vstack(list(centres.values()))
+        sizes = [len(c) for c in centres.values()]
+        begins = np.cumsum([0, *sizes[:-1]])
+        total = np.zeros((len(every), width + 2))
+        for batch in batches:
+            for x in vectors.blocks(batch.to_numpy(dtype=float)):
+                away = vectors.squared_distances(x, every)
+                nearest = [b + away[:, b : b + n].argmin(axis=1) for b, n in zip(begins, sizes, strict=True)]
+                mine = np.zeros(away.shape)
+                mine[np.arange(len(x))[:, None], np.stack(nearest, axis=1)] = 1.0
+                total[:, 0] += mine.sum(axis=0)
+                total[:, 1] += (mine * away).sum(axis=0)
+                total[:, 2:] += mine.T @ x
+        places = {"k": np.repeat(list(centres), sizes), "c": np.arange(len(every)) - np.repeat(begins, sizes)}
+        yield pd.DataFrame(total, columns=names).assign(**places)
+
+    schema = ", ".join(f"{n} double" for n in names) + ", k int, c int"
+    per_centre = rows.mapInPandas(summed, schema).groupBy("k", "c").agg(*[F.sum(n).alias(n) for n in names]).collect()
+    out = {k: (np.zeros(len(c)), np.zeros(len(c)), np.zeros((len(c), width))) for k, c in centres.items()}
+    for r in per_centre:
+        n, cost, sums = out[r["k"]]
+        n[r["c"]], cost[r["c"]], sums[r["c"]] = r["n"], r["cost"], [r[f"s{d}"] for d in range(width)]
+    return out
+
+
+def _best_start(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """The best of ``STARTS`` weighted clusterings of a few candidates, each from centres drawn far apart."""
+    best, least = points[:1], math.inf
+    for attempt in range(STARTS):
+        draw = np.random.default_rng([seed, k, attempt])
+        chosen = points[[draw.choice(len(points), p=weights / weights.sum())]]
+        while len(chosen) < min(k, len(points)):
+            mass = weights * vectors.squared_distances(points, chosen).min(axis=1)
+            if not mass.sum() > 0:
+                break
+            chosen = np.vstack([chosen, points[draw.choice(len(points), p=mass / mass.sum())]])
+        for _ in range(MAX_ITERATIONS):
+            own = vectors.squared_distances(points, chosen).argmin(axis=1)
+            mass = np.bincount(own, weights, len(chosen))
+            sums = np.stack([np.bincount(own, weights * p, len(chosen)) for p in points.T], axis=1)
+            moved = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1e-300)[:, None], chosen)
+            done, chosen = np.array_equal(moved, chosen), moved
+            if done:
+                break
+        cost = float(weights @ vectors.squared_distances(points, chosen).min(axis=1))
+        if cost < least:
+            best, least = chosen, cost
+    return best
+
+
+def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = K_RANGE, seed: int = SEED) -> DataFrame:
+    """Inertia for each k of K-Means with k centres, all trained together.
+
+    ``DRAWS`` scans draw candidates far from those before them, one more weighs them by the rows near them; each k starts at the
+    best weighted clustering of these candidates. Every further scan moves the centres of all k whose summed squared moves
+    still exceed ``TOLERANCE`` times the mean variance, and a last one measures all inertias. So the number of scans is
+    that of the slowest k, and a task returns a row per centre.
+
+    A centre without rows stays in its place. Where there are fewer distinct rows than k, each is a centre. Null and
+    non-finite values are refused. Without rows all inertias are 0.
+    """
+    ks = sorted(set(ks))
+    if not ks or ks[0] < 1 or sum(ks) > MAX_LABELS:
+        raise ValueError(f"k from 1 on, {MAX_LABELS} centres in all at most")
+    names = [f"x{d}" for d in range(len(cols))]
+    kept = materialize(df.select(*[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(cols, names, strict=True)]), "sweep-rows")
+    finite = " AND ".join(f"coalesce(abs({x}) < double('inf'), false)" for x in names)
+    seen = kept.agg(
+        F.count_if(~F.expr(finite)).alias("odd"),
+        F.expr(" + ".join(f"var_pop({x})" for x in names) + " AS spread"),
+        F.min_by(F.array(*names), F.xxhash64(F.lit(seed), *names)).alias("first"),
+    ).first()
+    if seen["odd"]:
+        raise ValueError(f"{seen['odd']} rows with null or non-finite values")
+    if seen["first"] is None:
+        return df.sparkSession.createDataFrame([(k, 0.0) for k in ks], "k int, sse double")
+    found = np.array([seen["first"]])
+    for step in range(DRAWS):
+        found = np.vstack([found, _drawn(kept, names, found, 2 * ks[-1], seed, step)])
+    found = np.unique(found, axis=0)
+    weights = _centre_sums(kept, names, {0: found})[0][0]
+    centres = {k: _best_start(found, weights, k, seed) for k in ks}
+    limit = TOLERANCE * seen["spread"] / len(cols)
+    moving = list(ks)
+    for _ in range(MAX_ITERATIONS):
+        for k, (n, _, sums) in _centre_sums(kept, names, {k: centres[k] for k in moving}).items():
+            moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres[k])
+            if ((moved - centres[k]) ** 2).sum() <= limit:
+                moving.remove(k)
+            centres[k] = moved
+        if not moving:
+            break
+    costs = _centre_sums(kept, names, centres)
+    return df.sparkSession.createDataFrame([(k, float(costs[k][1].sum())) for k in ks], "k int, sse double")
 
 
 def elbow_k(sweep: DataFrame, sensitivity: float = SENSITIVITY, default: int = DEFAULT_K) -> DataFrame:

@@ -227,6 +227,47 @@ def test_kmeans_finds_two_blobs(spark):
     assert sweep[2] >= sweep[3] >= sweep[4]
 
 
+def test_sweep_trains_all_k_together(spark, monkeypatch):
+    """As good as separate fits on planted groups, with as many jobs for nine k as for one."""
+    draw = np.random.default_rng(4)
+    places = draw.uniform(-50, 50, (7, 2))
+    points = np.vstack([p + draw.normal(size=(60, 2)) for p in places])
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points], "`a.b` double, y double").repartition(3)
+    flat = df.toDF("a", "y")
+    sweep = {r.k: r.sse for r in cluster.kmeans_sweep(df, ["a.b", "y"]).collect()}
+    assert sorted(sweep) == list(range(2, 11))
+    for k, sse in sweep.items():
+        apart = cluster.kmeans_fit(flat, ["a", "y"], k)[0].summary.trainingCost
+        assert 0 < sse <= apart * 1.01, k
+    within = sum(((g - g.mean(axis=0)) ** 2).sum() for g in np.split(points, 7))
+    assert sweep[7] == pytest.approx(within)
+
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+
+    def jobs(ks):
+        group = f"sweep-{len(ks)}"
+        context.setJobGroup(group, group)
+        cluster.kmeans_sweep(flat, ["a", "y"], ks).collect()
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    monkeypatch.setattr(cluster, "MAX_ITERATIONS", 3)
+    monkeypatch.setattr(cluster, "TOLERANCE", -1.0)
+    assert jobs((10,)) == jobs(tuple(range(2, 11)))
+
+
+def test_sweep_of_odd_rows(spark):
+    few = spark.createDataFrame([(1.0,), (1.0,), (1.0,), (5.0,)], "x double")
+    assert [tuple(r) for r in cluster.kmeans_sweep(few, ["x"], (3, 1, 2, 2)).collect()] == [(1, 12.0), (2, 0.0), (3, 0.0)]
+    assert [r.sse for r in cluster.kmeans_sweep(few.filter("x < 2"), ["x"], (1, 2)).collect()] == [0.0, 0.0]
+    assert [r.sse for r in cluster.kmeans_sweep(few.limit(0), ["x"], (2, 3)).collect()] == [0.0, 0.0]
+    for odd in (None, float("nan"), float("inf")):
+        with pytest.raises(ValueError, match="1 rows"):
+            cluster.kmeans_sweep(few.unionByName(spark.createDataFrame([(odd,)], "x double")), ["x"])
+    with pytest.raises(ValueError):
+        cluster.kmeans_sweep(few, ["x"], (0, 2))
+
+
 def test_whole_job(spark, sf_dir, tmp_path):
     from martloom.plans.catalog import Lake
     from martloom.plans.segmentation import SegmentationConfig, run_segmentation
