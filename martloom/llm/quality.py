@@ -201,6 +201,8 @@ def classify(
     * Labels for unknown or null ids, and labels whose condition is null, are left out. If an id has several labels,
       the bad one counts; rows that share an id share its label.
     * Without any label a document's evidence says nothing and all documents are kept.
+    * The model is bounded by parameters of this module: of features that pass ``SIGNIFICANT`` and ``TELLING`` the first
+      ``FEATURES`` count, evidence is at most ``EVIDENCE_LIMIT``, and a shape feature takes 1,000 words and more as one size class.
     * An input column named like a result column gives way to it. An empty table gives an empty result.
     """
     names = list(targets)
