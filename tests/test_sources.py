@@ -191,3 +191,49 @@ def test_a_load_with_a_budget_reads_the_lines_once(spark, tmp_path):
     (tmp_path / "latin.csv").write_bytes("id,price,name\n1,2,é\n".encode("latin-1"))
     with pytest.raises(ValueError, match="1 lines are not UTF-8"):
         csv.load_csv_with_bad_record_budget(spark, str(tmp_path / "latin.csv"), schema)
+
+
+def test_one_pass_tells_all_about_a_table(spark, tmp_path):
+    """Bytes, widths and types are looked at in one scan of all part files, and the rows are those of Spark's reader."""
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    for i in range(6):
+        body = f'{i},2.5,"a, ""{i}""",true\n\n  \n{i + 10},,é,\n{i + 20},1e3\n'
+        (folder / f"{i}.csv").write_text("\ufeffid,price,a.name,flag\n" + body, encoding="utf-8")
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("one-pass", "one-pass")
+    try:
+        got = csv.read_csv_table(spark, str(folder))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for j in tracker.getJobIdsForGroup("one-pass") for s in tracker.getJobInfo(j).stageIds}
+    # The header comes from a single task; what reads all part files has a task for each.
+    assert sum(1 for s in stages if (info := tracker.getStageInfo(s)) and info.numCompletedTasks >= 6) == 1
+    assert [f.dataType.simpleString() for f in got.schema] == ["bigint", "double", "string", "boolean"]
+    reader = spark.read.option("escape", '"').csv(str(folder), header=True, schema=got.schema, enforceSchema=True)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, reader.collect()), key=str) and got.count() == 18
+    assert got.select("price").distinct().count() == 3
+
+
+def test_what_makes_a_table_unreadable(spark, tmp_path):
+    def fails(name, data, match, **options):
+        (tmp_path / name).write_bytes(data)
+        with pytest.raises(ValueError, match=match):
+            csv.read_csv_table(spark, str(tmp_path / name), **options)
+
+    fails("head.csv", "é,b\n1,2\n".encode("latin-1"), "header is not UTF-8")
+    fails("body.csv", "a,b\né,2\n".encode("latin-1"), "1 lines are not UTF-8")
+    fails("open.csv", b'a,b\n1,"2\n3"\n', "span lines")
+    fails("open-head.csv", b'a,"b\nc"\n1,2\n', "spans lines")
+    fails("wide.csv", b"a,b\n1,2,3\n", "1 lines have more cells")
+    fails("misfit.csv", b"a,b\n1,x\n", "misfits|do not fit", schema=T.StructType.fromDDL("a long, b long"))
+    fails("bytes.csv", 'a,b\n"é\n",2\n'.encode("latin-1"), "not UTF-8", multi_line=True)
+    fails("none.csv", b"", "no header|not")
+    # A header within the data, as in files that were joined, is a header.
+    (tmp_path / "joined.csv").write_text("a,b\n1,2\na,b\n3,NULL\n")
+    assert csv.read_csv_table(spark, str(tmp_path / "joined.csv")).collect() == [(1, 2), (3, None)]
+    (tmp_path / "head-only.csv").write_text("a,b\n")
+    empty = csv.read_csv_table(spark, str(tmp_path / "head-only.csv"))
+    assert empty.count() == 0 and empty.columns == ["a", "b"]
+    unchecked = csv.read_csv_table(spark, str(tmp_path / "wide.csv"), T.StructType.fromDDL("a long, b long"), verify=False)
+    assert unchecked.collect() == [(1, 2)]
