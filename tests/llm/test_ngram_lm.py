@@ -93,3 +93,42 @@ def test_sequences_and_trie():
     assert found.tolist() == [known.get(a, -1) for a in asked]
     for a in asked[::17]:
         assert trie.find(*a) == known.get(a, -1)
+
+
+def test_packed_lookups():
+    """Many lookups on the packed levels at once, in ranges of their own, against plain search."""
+    draw = np.random.default_rng(2)
+    top = 1 << 64
+    sizes = ((1, 1), (1, top), (5, 2), (64, 64), (700, 3), (700, 10**9), (3000, 10**4), (2000, top), (128, 1 << 63), (9, 1 << 60))
+    for n, end in sizes:
+        values = np.sort(draw.integers(0, end, n, dtype=np.uint64))
+        sequence = EliasFano.build(values)
+        assert sequence.take(np.arange(n)).tolist() == values.tolist()
+        asked = np.concatenate([values, draw.integers(0, end, 300, dtype=np.uint64), np.array([0, 1, end - 1, top - 1], np.uint64)])
+        asked = np.concatenate([asked, values + np.uint64(1), values - np.uint64(1)])
+        start = draw.integers(0, n + 1, len(asked))
+        stop = np.minimum(n, start + draw.integers(0, n + 1, len(asked)))
+        for a, b in ((np.zeros(len(asked), int), np.full(len(asked), n)), (start, stop)):
+            at, found = sequence.successors(asked, a, b)
+            want = [i + int(np.searchsorted(values[i:j], x)) for x, i, j in zip(asked, a, b, strict=True)]
+            assert at.tolist() == want
+            assert found.tolist() == [i < j and values[i] == x for x, i, j in zip(asked, want, b, strict=True)]
+    nothing = EliasFano.build(np.zeros(0, np.uint64))
+    at, found = nothing.successors(np.array([0, 5], np.uint64), 0, 0)
+    assert at.tolist() == [0, 0] and not found.any()
+
+
+def test_lookups_leave_the_levels_packed(monkeypatch):
+    draw = np.random.default_rng(3)
+    pairs = np.unique(draw.integers(0, 1 << 64, (4000, 2), dtype=np.uint64), axis=0)
+    pairs[1::2, 0] = pairs[::2, 0]
+    pairs = np.unique(pairs, axis=0)
+    trie = BigramTrie.build(pairs[:, 0], pairs[:, 1], np.arange(len(pairs)) % 65_536)
+
+    def refused(self):
+        raise AssertionError("a level was decoded")
+
+    monkeypatch.setattr(EliasFano, "decode", refused)
+    order = draw.permutation(len(pairs))
+    assert trie.find_all(pairs[order, 0], pairs[order, 1]).tolist() == (order % 65_536).tolist()
+    assert (trie.find_all(pairs[:, 0], pairs[:, 1] + np.uint64(1)) == -1).all()
