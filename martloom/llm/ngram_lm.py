@@ -40,6 +40,8 @@ BATCH_BYTES = 12 << 20
 WORDS_PER_SHARD = 1_000_000
 PAIRS_PER_SHARD = 2_000_000
 PAIRS_PER_SLICE = 500_000
+# Pairs of a shard that are looked up together.
+PAIRS_AT_ONCE = 1 << 17
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word has a line end
 SHARD_FILE = "trie-{:06d}.ef"
 
@@ -192,6 +194,23 @@ def pair_logs(trie: BigramTrie, v: np.ndarray, w: np.ndarray, code: np.ndarray,
     return np.where(found >= 0, -found / STEPS, left)
 
 
+def _joined(sent: list[tuple], *columns: int) -> list[np.ndarray]:
+    return [np.concatenate([s[i] for s in sent]) for i in columns]
+
+
+def _runs(sent: list[tuple]) -> Iterator[list[tuple]]:
+    """What batches sent, some of them at a time: enough pairs for one lookup, few beside all of the shard."""
+    some, pairs = [], 0
+    for s in sent:
+        some.append(s)
+        pairs += len(s[0])
+        if pairs >= PAIRS_AT_ONCE:
+            yield some
+            some, pairs = [], 0
+    if some:
+        yield some
+
+
 def _scored(pairs: DataFrame, out: str) -> DataFrame:
     """Per batch and shard: documents and their sums of log probabilities. Rows of documents pass through."""
 
@@ -202,16 +221,15 @@ def _scored(pairs: DataFrame, out: str) -> DataFrame:
         if shard < 0:
             return rows.assign(sums=None)
         sent = [unpacked(d) for d in rows["data"]]
-        v, w, code, seen, train = (np.concatenate([s[i] for s in sent]) for i in (0, 1, 2, 3, 5))
         # The last attempt to finish takes the name; all write the same bytes.
         uri = f"{out}/{SHARD_FILE.format(shard)}"
         file = AtomicFile(uri, int(np.random.default_rng().integers(1 << 62)))
-        trie_of(v, w, code, seen, train.astype(bool)).write(file.sink)
+        trie_of(*_joined(sent, 0, 1, 2, 3), _joined(sent, 5)[0].astype(bool)).write(file.sink)
         file.close()
         fs, path = store(uri)
         source = pa.memory_map(path) if fs.type_name == "local" else fs.open_input_file(path)
         trie = BigramTrie.open(source.read_buffer())
-        logs = pair_logs(trie, v, w, code, seen)
+        logs = np.concatenate([pair_logs(trie, *_joined(some, 0, 1, 2, 3)) for some in _runs(sent)])
         at, data, sums = 0, [], []
         for s in sent:
             doc = s[4].astype(np.int64)
