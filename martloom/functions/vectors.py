@@ -91,6 +91,44 @@ def exact_products(x: np.ndarray) -> np.ndarray:
     return squares + (mixed + mixed.T) * (1 << HALF_BITS) + (low.T @ low).astype(object)
 
 
-def label_distance_sums(x: np.ndarray, y: np.ndarray, weight: np.ndarray, one_hot: np.ndarray) -> np.ndarray:
-    """For each row of ``x`` and each label, the weighted sum of distances to the rows of ``y``."""
-    return np.vstack([np.sqrt(squared_distances(b, y)) @ (one_hot * weight[:, None]) for b in blocks(x)])
+# Squared distances below this share of the squares they come from have lost digits and are measured again.
+CLOSE = 1e-6
+
+
+def label_distance_sums(
+    x: np.ndarray, x_weights: np.ndarray, y: np.ndarray, y_weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of ``x`` and each label the weighted sum of distances to the rows of ``y``, and the same from ``y`` to ``x``.
+
+    The weights have a column per label. A block of distances is one matrix product, used for both directions while it is in the
+    processor's cache; pairs that lie too close for a product are measured coordinate by coordinate.
+    """
+    middle = y.mean(axis=0)
+    x, y = x - middle, y - middle
+    x_squares, y_squares = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    # Rows of like length share a block, so that a few long ones do not make others seem close.
+    by_x, by_y = np.argsort(x_squares), np.argsort(y_squares)
+    x, x_weights, x_squares = x[by_x], x_weights[by_x], x_squares[by_x]
+    y, y_weights, y_squares = y[by_y], y_weights[by_y], y_squares[by_y]
+    left = np.column_stack([-2.0 * x, x_squares, np.ones(len(x))])
+    right = np.ascontiguousarray(np.column_stack([y, np.ones(len(y)), y_squares]).T)
+    of_x, of_y = np.zeros((len(x), y_weights.shape[1])), np.zeros((len(y), x_weights.shape[1]))
+    for i in range(0, len(x), ROWS_PER_BLOCK):
+        rows = slice(i, i + ROWS_PER_BLOCK)
+        mine = np.ascontiguousarray(x_weights[rows].T)
+        for j in range(0, len(y), ROWS_PER_BLOCK):
+            cols = slice(j, j + ROWS_PER_BLOCK)
+            gaps = left[rows] @ right[:, cols]
+            # Written so that what is not a number counts as close.
+            close = ~(gaps > CLOSE * (x_squares[rows].max() + y_squares[cols].max()))
+            if close.any():
+                a, b = np.nonzero(close)
+                if 8 * len(a) > gaps.size:
+                    gaps = squared_distances(x[rows], y[cols])
+                else:
+                    gaps[a, b] = ((x[rows][a] - y[cols][b]) ** 2).sum(axis=1)
+            np.sqrt(gaps, out=gaps)
+            of_x[rows] += gaps @ y_weights[cols]
+            of_y[cols] += (mine @ gaps).T
+    # Back to the order in which the rows came.
+    return of_x[np.argsort(by_x)], of_y[np.argsort(by_y)]

@@ -26,8 +26,11 @@ MAX_ITERATIONS, TOLERANCE = 300, 1e-4
 # The sweep's start: scans that draw candidates, and clusterings of these that are tried for each k.
 DRAWS, STARTS = 5, 10
 
-# Exact silhouette: rows per tile. A pair of tiles is one group and holds this many rows twice.
-TILE_ROWS = 16_384
+# Exact silhouette: rows per tile at most, fewer where that makes tasks for all cores, and so many weights per tile. A pair of
+# tiles is one group and holds these rows twice.
+TILE_ROWS, SMALL_TILE_ROWS, TILES = 65_536, 2_048, 24
+TILE_WEIGHTS = 1 << 24
+MAX_PARTITIONS = 10_000
 # Scores hold one entry per cluster in every task; more clusters than this are refused.
 MAX_LABELS = 10_000
 
@@ -300,13 +303,19 @@ def _silhouette_of_sums(sums: DataFrame, sizes: DataFrame) -> DataFrame:
     return scored.select(F.coalesce("mean", F.lit(-1.0)).alias("silhouette"))
 
 
+def _tiles(n: int, labels: int) -> int:
+    """How many tiles ``n`` rows make."""
+    most = min(TILE_ROWS, max(SMALL_TILE_ROWS, TILE_WEIGHTS // max(labels, 1)))
+    return max(1, math.ceil(n / most), min(TILES, math.ceil(n / SMALL_TILE_ROWS)))
+
+
 def silhouette_exact(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """Mean Euclidean silhouette; -1 below two clusters.
 
     Every row is scored against every other. Equal rows of a cluster are first
     merged into one with a count; the distinct rows are spread over tiles by hash, and each pair
-    of tiles is one bounded group that returns sums per row and cluster, not pairs. The work is
-    quadratic in the distinct rows; for many millions of them use ``silhouette_squared``.
+    of tiles is one bounded group, a task of its own, that measures each distance once and returns sums per row and
+    cluster, not pairs. The work is quadratic in the distinct rows; for many millions of them use ``silhouette_squared``.
     """
     points = _points(df, cols, label)
     merged = points.groupBy("label", "v").agg(F.count(F.lit(1)).alias("copies"))
@@ -315,42 +324,66 @@ def silhouette_exact(df: DataFrame, cols: Sequence[str], label: str) -> DataFram
     labels = sorted(r["label"] for r in sizes.select("label").limit(MAX_LABELS + 1).collect())
     if len(labels) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} clusters")
-    tiles = max(1, math.ceil(distinct.count() / TILE_ROWS))
-
-    tiled = distinct.withColumn("tile", F.pmod(F.xxhash64("row"), F.lit(tiles)).cast("int"))
-    pairs = tiled.withColumn("other_tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).select(
-        "row", "label", "copies", "v", "tile",
-        F.least("tile", "other_tile").alias("t1"), F.greatest("tile", "other_tile").alias("t2"),
+    tiles = _tiles(distinct.count(), len(labels))
+    groups = tiles * (tiles + 1) // 2
+    partitions = min(groups, MAX_PARTITIONS)
+
+    names = [f"v{d}" for d in range(len(cols))]
+    tiled = distinct.select(
+        "row", "label", "copies", *[F.col("v")[d].alias(v) for d, v in enumerate(names)],
+        F.pmod(F.xxhash64("row"), F.lit(tiles)).cast("long").alias("tile"),
     )
+    # Pairs of tiles are numbered through; the first tile of a pair is the smaller one.
+    first, second = F.least("tile", "other_tile"), F.greatest("tile", "other_tile")
+    pairs = tiled.withColumn("other_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long")))).select(
+        "row", "label", "copies", *names, (F.col("tile") == first).alias("is_first"), (F.col("tile") == second).alias("is_second"),
+        (second * (second + 1) / 2 + first).cast("long").alias("pair"),
+    )
+    dealt = pairs.repartitionById(partitions, (F.col("pair") % partitions).cast("int")).sortWithinPartitions("pair")
     label_type = df.schema[label].dataType.simpleString()
 
-    def sums_of_pair(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        def directed(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-            one_hot = (y["label"].to_numpy()[:, None] == np.array(labels)[None, :]).astype(float)
-            totals = vectors.label_distance_sums(
-                np.array(x["v"].tolist()), np.array(y["v"].tolist()), y["copies"].to_numpy(float), one_hot
-            )
-            return pd.DataFrame(
-                {
-                    "row": np.repeat(x["row"].to_numpy(), len(labels)),
-                    "own": np.repeat(x["label"].to_numpy(), len(labels)),
-                    "copies": np.repeat(x["copies"].to_numpy(), len(labels)),
-                    "other": np.tile(np.array(labels), len(x)),
-                    "total": totals.ravel(),
-                }
-            )
-
-        if key[0] == key[1]:
-            return directed(rows, rows)
-        first, second = rows[rows["tile"] == key[0]], rows[rows["tile"] == key[1]]
-        if first.empty or second.empty:
-            return pd.DataFrame(columns=["row", "own", "copies", "other", "total"])
-        return pd.concat([directed(first, second), directed(second, first)])
+    def totals(rows: pd.DataFrame, sums: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "row": np.repeat(rows["row"].to_numpy(), len(labels)),
+                "own": np.repeat(rows["label"].to_numpy(), len(labels)),
+                "copies": np.repeat(rows["copies"].to_numpy(), len(labels)),
+                "other": np.tile(np.array(labels), len(rows)),
+                "total": sums.ravel(),
+            }
+        )
+
+    def sums_of_pair(parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(parts)
+        places = np.array(labels)
+        x, y = rows[rows["is_first"]], rows[rows["is_second"]]
+        if x.empty or y.empty:
+            return
+        weights = [(side["label"].to_numpy()[:, None] == places) * side["copies"].to_numpy(float)[:, None] for side in (x, y)]
+        of_x, of_y = vectors.label_distance_sums(
+            x[names].to_numpy(dtype=float), weights[0], y[names].to_numpy(dtype=float), weights[1]
+        )
+        yield totals(x, of_x)
+        # A tile paired with itself is both sides.
+        if not x["is_second"].iloc[0]:
+            yield totals(y, of_y)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, []
+        for batch in batches:
+            for pair, part in batch.groupby("pair"):
+                if held and pair != now:
+                    yield from sums_of_pair(held)
+                    held = []
+                now = pair
+                held.append(part)
+        if held:
+            yield from sums_of_pair(held)
 
     schema = f"row long, own {label_type}, copies long, other {label_type}, total double"
-    partial = pairs.groupBy("t1", "t2").applyInPandas(sums_of_pair, schema)
-    totals = partial.groupBy("row", "own", "copies", "other").agg(F.sum("total").alias("total"))
-    return _silhouette_of_sums(totals, sizes)
+    partial = dealt.mapInPandas(sums, schema)
+    summed = partial.groupBy("row", "own", "copies", "other").agg(F.sum("total").alias("total"))
+    return _silhouette_of_sums(summed, sizes)
 
 
 def silhouette_squared(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:

@@ -158,6 +158,46 @@ def test_silhouette_over_several_tiles_with_copies_and_a_singleton(spark, monkey
     assert math.isclose(cluster.silhouette_exact(df, COLS, "label").first()[0], want, rel_tol=1e-9)
 
 
+def test_distance_sums_of_far_near_and_odd_rows():
+    """Offsets, copies, near copies and a long row: as exact as coordinate by coordinate, both ways."""
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(300, 3)) + 1e4, rng.normal(size=(520, 3)) + 1e4
+    x[:40], x[40:80], x[80] = y[:40], y[40:80] + 1e-7, 1e7
+    x_weights, y_weights = rng.integers(0, 3, (300, 2)).astype(float), rng.integers(0, 3, (520, 4)).astype(float)
+    away = np.sqrt(vectors.squared_distances(x, y))
+    of_x, of_y = vectors.label_distance_sums(x, x_weights, y, y_weights)
+    assert np.allclose(of_x, away @ y_weights, rtol=1e-9, atol=0) and np.allclose(of_y, away.T @ x_weights, rtol=1e-9, atol=0)
+    near = np.array([[1.0, 1.0], [1.0, 1.0 + 1e-9], [1.0, 1.0]])
+    one = np.ones((3, 1))
+    assert np.allclose(vectors.label_distance_sums(near, one, near, one)[0].ravel(), [1e-9, 2e-9, 1e-9], rtol=1e-6)
+    assert np.isnan(vectors.label_distance_sums(np.array([[np.nan, 0.0]]), one[:1], near, one)[0]).all()
+
+
+def test_silhouette_has_tasks_for_all_cores(spark):
+    """A few thousand rows are several groups, each a task, and each distance is measured once."""
+    n = 3 * cluster.SMALL_TILE_ROWS
+    df = spark.range(n).selectExpr("CAST(id % 5 AS INT) AS label", "CAST(id AS DOUBLE) AS x", "CAST(id % 5 * 10000 AS DOUBLE) AS y")
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("tiles", "tiles")
+    score = cluster.silhouette_exact(df, ["x", "y"], "label").first()[0]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup("tiles") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)]
+    assert 3 * 4 // 2 in tasks
+    points = np.array([(i, i % 5 * 10000) for i in range(n)], dtype=float)
+    labels = np.arange(n) % 5
+    one_hot = (labels[:, None] == np.arange(5)).astype(float)
+    sums = np.vstack([np.sqrt(vectors.squared_distances(b, points)) @ one_hot for b in vectors.blocks(points)])
+    own, size = labels[:, None] == np.arange(5), one_hot.sum(axis=0)
+    a, b = (sums / (size - 1))[own], np.where(own, np.inf, sums / size).min(axis=1)
+    assert score == pytest.approx(((b - a) / np.maximum(a, b)).mean(), rel=1e-9)
+
+
+def test_tiles_hold_a_bounded_number_of_rows_and_weights():
+    assert [cluster._tiles(n, 3) for n in (0, 1, 5_000, 300_000, 10_000_000)] == [1, 1, 3, 24, 153]
+    assert cluster._tiles(1_000_000, cluster.MAX_LABELS) == math.ceil(1_000_000 / cluster.SMALL_TILE_ROWS)
+
+
 def test_single_cluster_scores(spark):
     df, _ = _blobs(spark, n=6)
     single = df.withColumn("label", F.lit(0))
