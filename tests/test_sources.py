@@ -248,3 +248,19 @@ def test_budgeted_queries_load_more_bad_rows_than_the_usual_budget(spark, tmp_pa
     assert tuple(QUERIES["load_csv_row_counts"](spark, str(tmp_path)).first()) == (100, 1001)
     assert QUERIES["load_csv_good_keys"](spark, str(tmp_path)).filter("o_orderkey % 997 = 1").count() == 100
     assert QUERIES["load_csv_with_bad_record_budget"](spark, str(tmp_path)).count() == 100
+
+
+def test_types_take_one_aggregate_per_column(spark, tmp_path):
+    """More would make a line's code too long for the JVM to compile it."""
+    assert len(csv._facts_about(["a", "b", "c"], {})) == 1 + 3
+    columns = {
+        "whole": ["1", " -2 ", "+3"], "huge": ["1", "99999999999999999999", ""], "mixed": ["7", "1e3", ".5"],
+        "huge_mixed": ["99999999999999999999", "1.5", "2"], "yes": ["true", "FALSE", ""], "yes_or_one": ["true", "1", ""],
+        "odd": ["1", "1.2.3", "4"], "none": ["", "NA", "null"],
+    }
+    lines = [",".join(columns), *[",".join(cells) for cells in zip(*columns.values(), strict=True)]]
+    (tmp_path / "kinds.csv").write_text("\n".join(lines) + "\n")
+    assert dict(csv.read_csv_table(spark, f"{tmp_path}/kinds.csv").dtypes) == {
+        "whole": "bigint", "huge": "string", "mixed": "double", "huge_mixed": "double", "yes": "boolean", "yes_or_one": "string",
+        "odd": "string", "none": "double",
+    }
