@@ -77,14 +77,12 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row, repeated ones included, and whether they decode to its text."""
-    path = vocabulary("byte_bpe_50k.json")
-    encoded = bpe.encode(docs, path)
-    decoded = bpe.decode(encoded, path, text_col="decoded")
-    return decoded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("decodes"),
-    )
+    """Token ids of each row, repeated ones included, and whether they decode to its text.
+
+    A task decodes what it has encoded, so it has one Python worker; a second one would stay with its executor.
+    """
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary("byte_bpe_50k.json"), decodes_col="decodes", keep_text=False)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decodes")
 
 
 STAGES = [

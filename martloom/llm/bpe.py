@@ -179,27 +179,57 @@ class Encoder:
         return b"".join(out)
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+class Decoder:
+    """Texts of ids. All tokens lie in one run of bytes; an id's text is what stands between two neighbouring offsets."""
+
+    def __init__(self, tokens: list[bytes]):
+        # One more, empty, token stands for every id that the vocabulary lacks.
+        self.size = len(tokens)
+        self.run_of_bytes = np.frombuffer(b"".join([*tokens, b""]), np.uint8)
+        self.offsets = np.cumsum([0, *map(len, tokens), 0])
+
+    def text(self, ids: np.ndarray) -> str:
+        ids = np.where((ids < 0) | (ids >= self.size), self.size, ids)
+        starts, lengths = self.offsets[ids], self.offsets[ids + 1] - self.offsets[ids]
+        ends = np.cumsum(lengths)
+        if not len(ids):
+            return ""
+        places = np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])
+        return self.run_of_bytes[places].tobytes().decode("utf-8", "replace")
+
+
+def encode(
+    docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", decodes_col: str | None = None, keep_text: bool = True,
+) -> DataFrame:
     """``docs`` with the token ids of each text, as the vocabulary file at path ``vocabulary`` encodes it.
 
     A null or empty text has no ids. The string of a special token stands for that token. A column named
     ``ids_col`` gives way to the result. The file is read by the driver; tasks get its content.
+    With ``decodes_col`` the ids are decoded by the same task, and that column says whether this gives the text again.
     """
     with open(vocabulary, encoding="utf-8") as f:
         content = f.read()
     Vocabulary(content)
-    passed = bare(docs, ids_col)
+    made = [ids_col] if decodes_col is None else [ids_col, decodes_col]
+    passed = [c for c in bare(docs, *made) if keep_text or c != text_col]
     frame = docs.select(*map(col, passed), col(text_col).cast("binary").alias(" text"))
     schema = T.StructType([*docs.select(*map(col, passed)).schema, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))])
+    if decodes_col is not None:
+        schema.add(decodes_col, T.BooleanType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         encoder = Encoder(Vocabulary(content))
+        decoder = None if decodes_col is None else Decoder(encoder.vocabulary.tokens)
         for batch in batches:
             for part in slices(batch, " text"):
-                ids = [encoder.text((t or b"").decode("utf-8", "replace")) for t in part.column(" text").to_pylist()]
+                texts = [t or b"" for t in part.column(" text").to_pylist()]
+                ids = [encoder.text(t.decode("utf-8", "replace")) for t in texts]
                 ends = np.cumsum([0, *map(len, ids)]) // 4
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield [*part.columns[:-1], lists]
+                out = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))]
+                if decoder is not None:
+                    same = [decoder.text(np.frombuffer(i, np.int32)).encode() == t for i, t in zip(ids, texts, strict=True)]
+                    out.append(pa.array(same, pa.bool_()))
+                yield [*part.columns[:-1], *out]
 
     return map_batches(frame, run, schema)
 
@@ -207,28 +237,15 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``df`` with the text of each array of ids, special tokens included.
 
-    All tokens lie in one run of bytes; an id's text is what stands between two neighbouring offsets. Null ids
-    give a null text; ids outside the vocabulary and null elements give nothing; bytes that are no UTF-8 become
+    Null ids give a null text; ids outside the vocabulary and null elements give nothing; bytes that are no UTF-8 become
     replacement characters. A column named ``text_col`` gives way to the result.
     """
     with open(vocabulary, encoding="utf-8") as f:
-        tokens = Vocabulary(f.read()).tokens
-    run_of_bytes = np.frombuffer(b"".join([*tokens, b""]), np.uint8)
-    # One more, empty, token stands for every id that the vocabulary lacks.
-    offsets = np.cumsum([0, *map(len, tokens), 0])
+        decoder = Decoder(Vocabulary(f.read()).tokens)
     passed = bare(df, text_col)
     frame = df.select(*map(col, passed), col(ids_col).cast("array<int>").alias(" ids"))
     schema = T.StructType([*df.select(*map(col, passed)).schema, T.StructField(text_col, T.StringType())])
 
-    def text(ids: np.ndarray) -> str:
-        ids = np.where((ids < 0) | (ids >= len(tokens)), len(tokens), ids)
-        starts, lengths = offsets[ids], offsets[ids + 1] - offsets[ids]
-        ends = np.cumsum(lengths)
-        if not len(ids):
-            return ""
-        places = np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])
-        return run_of_bytes[places].tobytes().decode("utf-8", "replace")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
             for part in slices(batch, " ids", 4):
@@ -237,7 +254,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str =
                     if not value.is_valid:
                         texts.append(None)
                     else:
-                        texts.append(text(value.values.fill_null(-1).to_numpy(zero_copy_only=False)))
+                        texts.append(decoder.text(value.values.fill_null(-1).to_numpy(zero_copy_only=False)))
                 yield [*part.columns[:-1], pa.array(texts, pa.string())]
 
     return map_batches(frame, run, schema)

@@ -63,6 +63,17 @@ def test_only_results_stay_in_the_shared_folder(spark, sf_dir, tmp_path):
     assert lazily.count() == docs.count()
 
 
+def test_a_task_of_a_stage_needs_one_python_worker(spark, sf_dir, tmp_path):
+    docs = spark.createDataFrame([(1, "a  b\x0bc", "en", "web"), (2, None, None, None), (3, "h\u00e9 \U0001f600", "en", "web")], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    out = corpus_pipeline.stage_bpe(spark, spark.read.parquet(f"{tmp_path}/docs"), sf_dir)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decodes"]
+    assert [(r.doc_id, r.n_tokens > 0, len(r.ids) == r.n_tokens, r.decodes) for r in out.orderBy("doc_id").collect()] == [
+        (1, True, True, True), (2, False, True, True), (3, True, True, True),
+    ]
+
+
 def test_odd_documents(spark, sf_dir, tmp_path):
     rows = [(1, None, None, None), (2, "", "en", "web"), (3, "a b\x0bc", "en", None), (3, "a b\x0bc", "en", None), (None, "tie", None, "web")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "1 AS size", "2 AS `a.b`", "true AS KEPT")
