@@ -266,6 +266,12 @@ def key_counts(
     return together.groupBy("number", *_slots(width)).agg(F.count(F.lit(1)).alias("n")), [o for _, o in scans if o]
 
 
+def told_apart(counts: DataFrame, tests: Mapping[int, DataTest], count: _Count) -> DataFrame:
+    """The counts that can tell a failure: keys that are only tested for repeats, such as an item's, matter if they repeat."""
+    whole = {n for i, n in count.of_test.items() if tests[i].kind not in ("unique", "unique_combination")} | set(count.parent_of.values())
+    return counts.filter((F.col("n") > 1) | F.col("number").isin(*whole))
+
+
 def _counted_failures(counts: DataFrame, tests: Mapping[int, DataTest], count: _Count) -> dict[int, int]:
     """Failures of the tests that count keys, from the stored counts. A number per test or reference is collected."""
     repeats = {n for i, n in count.of_test.items() if tests[i].kind in ("unique", "unique_combination")}
@@ -292,7 +298,8 @@ def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> Dat
     """One report row per test: model, test, column, failures, severity, status.
 
     Each table is scanned once, be it a model, a parent or both: single-row failures are observed while the keys are counted.
-    The counts are stored and serve repeats, references and their parents alike; only a number per test reaches the driver.
+    The counts that can tell a failure are stored and serve repeats, references and their parents alike; only a number per
+    test reaches the driver.
     The tests run when this is called.
     """
     numbered = dict(enumerate(suite))
@@ -300,7 +307,7 @@ def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> Dat
     failures = dict.fromkeys(numbered, 0)
     if numbered:
         counts, observed = key_counts(tables, numbered, count)
-        stored = materialize(counts, "test-keys")
+        stored = materialize(told_apart(counts, numbered, count), "test-keys")
         for o in observed:
             failures |= {int(i): n for i, n in counted(o).items()}
         failures |= _counted_failures(stored, numbered, count)

@@ -106,6 +106,21 @@ def test_keys_of_any_type_and_nulls(spark):
     assert got == {0: 1, 1: 1, 2: 2, 3: 1, 4: 1, 5: 2, 6: 2, 7: 1, 8: 0, 9: 2, 10: 1}
 
 
+def test_keys_that_do_not_repeat_are_stored_for_references_only(spark, monkeypatch):
+    items = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 1), (3, None), (3, None)], "o int, i int")
+    orders = spark.createDataFrame([(1,), (2,), (4,)], "o int")
+    suite = [
+        q.DataTest("items", "unique_combination", ("o", "i")), q.DataTest("items", "relationships", ("o",), {"to": "orders", "field": "o"}),
+        q.DataTest("orders", "unique", ("o",)), q.DataTest("items", "unique", ("o",)),
+    ]
+    stored = []
+    monkeypatch.setattr(q, "materialize", lambda df, name, store=q.materialize: stored.append(store(df, name)) or stored[-1])
+    got = {r.test_no: r.failures for r in q.run_tests({"items": items, "orders": orders}, suite).collect()}
+    assert got == {0: 2, 1: 2, 2: 0, 3: 3}
+    # Of four pairs those two that repeat, and each order number of both tables.
+    assert sorted(r.n for r in stored[0].collect()) == [1, 1, 1, 2, 2, 2, 2, 2]
+
+
 def test_only_single_row_tests_or_none(spark):
     df = spark.createDataFrame([(None,), (1,)], "a int")
     assert q.run_tests({"m": df}, [q.DataTest("m", "not_null", ("a",))]).first().failures == 1
