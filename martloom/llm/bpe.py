@@ -1,9 +1,11 @@
 """Byte-level BPE: an encoder that is exact and linear, and a decoder by an offset table.
 
 The encoder walks over a piece of text from token to token. At each place it takes the longest token that an
-Aho-Corasick automaton has found there and keeps it if the pair with the token before is one that merging in
+Aho-Corasick automaton finds there and keeps it if the pair with the token before is one that merging in
 rank order would also leave apart. If not, it tries the next shorter token, and where none is left it goes one
 token back. Places that have proved dead are not entered again, so the walk is linear in the text.
+
+Texts are cut before their blanks, and each distinct cut of a batch is looked up once.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Callable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -27,6 +30,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 # Fixed value: the white space of Unicode. No piece runs on from a character outside it to one inside it, so a run
 # of white space with what follows it can be encoded, and remembered, on its own.
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The same of ASCII bytes, and the bytes that white space ends with.
+ASCII_PIECES = rb"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+BLANK_ENDS = tuple(chr(c).encode() for c in range(0x3001) if re.match(f"[{BLANK}]", chr(c)))
 # Runs and pieces a task remembers.
 REMEMBERED = 300_000
 
@@ -88,12 +94,12 @@ class Vocabulary:
 
 
 class Memory(dict):
-    """Remembers what ``make`` gives for short strings, and forgets all of it when full."""
+    """Remembers what ``make`` gives for short keys, and forgets all of it when full."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[bytes], bytes]):
         self.make = make
 
-    def __missing__(self, key: str) -> bytes:
+    def __missing__(self, key: bytes) -> bytes:
         value = self.make(key)
         if len(key) < 100:
             if len(self) >= REMEMBERED:
@@ -107,7 +113,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = v = vocabulary
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         # Tokens that merging can reach, each with the longest shorter one that starts it.
         reached: dict[int, bool] = {}
         self.finder = ahocorasick.Automaton()
@@ -126,48 +132,66 @@ class Encoder:
         self.runs = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
         marks = sorted(v.special, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, marks)) + ")") if marks else None
-        self.known_pieces = Memory(lambda p: array("i", self.piece(p.encode())).tobytes())
-        self.known_runs = Memory(lambda r: b"".join(map(self.known_pieces.__getitem__, self.pieces.findall(r))))
+        self.ascii_pieces = re.compile(ASCII_PIECES)
+        self.lengths = [*map(len, v.tokens)]
+        self.most = max(map(len, by_bytes))
+        self.known_pieces = Memory(lambda p: array("i", self.piece(p)).tobytes())
+        self.known_runs = Memory(lambda r: b"".join(map(self.known_pieces.__getitem__, self._pieces(r))))
+
+    def _pieces(self, run: bytes) -> list[bytes]:
+        if run.isascii():
+            return self.ascii_pieces.findall(run)
+        return [p.encode() for p in self.pieces.findall(run.decode("utf-8", "replace"))]
 
     @staticmethod
     def _start(by_bytes: dict[bytes, int], token: bytes) -> int:
         return next((by_bytes[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in by_bytes), -1)
 
     def _apart(self, left: int, right: int) -> bool:
-        pair = (left, right)
-        if pair not in self.pairs:
+        pair = left << 32 | right
+        apart = self.pairs.get(pair)
+        if apart is None:
             if len(self.pairs) >= REMEMBERED:
                 self.pairs.clear()
-            self.pairs[pair] = self.vocabulary.apart(left, right)
-        return self.pairs[pair]
+            apart = self.pairs[pair] = self.vocabulary.apart(left, right)
+        return apart
 
     def piece(self, piece: bytes) -> list[int]:
         """The ids of one piece."""
         if piece in self.whole:
             return [self.whole[piece]]
-        tokens = self.vocabulary.tokens
-        longest = [-1] * len(piece)
-        for end, (number, length) in self.finder.iter(piece.decode("latin-1")):
-            longest[end + 1 - length] = number  # matches come in order of their ends, the longest of a place last
-        alive = bytearray(b"\1") * (len(piece) + 1)
+        lengths, text, size = self.lengths, piece.decode("latin-1"), len(piece)
+        # The longest token at each place that the walk comes to if it never turns.
+        longest = {end + 1 - length: number for end, (number, length) in self.finder.iter_long(text)}
+        alive = bytearray(b"\1") * (size + 1)
         ids: list[int] = []
         at, token = 0, longest[0]
-        while at < len(piece):
+        while at < size:
             while token >= 0:
-                end = at + len(tokens[token])
+                end = at + lengths[token]
                 if alive[end] and (not ids or self._apart(ids[-1], token)):
                     break
                 token = self.shorter[token]
             if token >= 0:
                 ids.append(token)
                 at = end
-                token = longest[at] if at < len(piece) else -1
+                if at < size:
+                    token = longest.get(at, -1)
+                    if token < 0:
+                        token = longest[at] = self._longest(piece, text, at)
             else:
                 alive[at] = 0
                 token = ids.pop()
-                at -= len(tokens[token])
+                at -= lengths[token]
         return ids
 
+    def _longest(self, piece: bytes, text: str, at: int) -> int:
+        """The longest token at a place."""
+        size = self.finder.longest_prefix(text[at : at + self.most])
+        while piece[at : at + size] not in self.whole:
+            size -= 1
+        return self.whole[piece[at : at + size]]
+
     def text(self, text: str) -> bytes:
         """The ids of a text as 32-bit integers."""
         out = []
@@ -175,9 +199,39 @@ class Encoder:
             if i % 2:
                 out.append(array("i", [self.vocabulary.special[part]]).tobytes())
             else:
-                out += map(self.known_runs.__getitem__, self.runs.findall(part))
+                out += [self.known_runs[r.encode()] for r in self.runs.findall(part)]
         return b"".join(out)
 
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of binary texts in a row, and where each text's begin, the end of all at last."""
+        # As bytes are only cut at blanks, they need not be valid text.
+        parts = pc.split_pattern(texts, b" ")
+        bounds = parts.offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        parts = parts.flatten()
+        distinct = pc.dictionary_encode(parts)
+        words, which = distinct.dictionary.to_pylist(), distinct.indices.to_numpy().astype(np.int64)
+        coded = [self.known_runs[b" " + w] for w in words]
+        # A blank after white space does not begin a run, and special tokens come first: such texts are encoded on their own.
+        odd = np.array([not w or w.endswith(BLANK_ENDS) for w in words], bool)[which]
+        odd[bounds[1:] - 1] = False
+        alone = np.add.reduceat(odd, bounds[:-1]) > 0 if len(texts) else np.zeros(0, bool)
+        for mark in self.vocabulary.special:
+            alone |= pc.match_substring(texts, mark.encode()).to_numpy(zero_copy_only=False)
+        # No blank is before the first part.
+        first = bounds[:-1]
+        which[np.repeat(alone, np.diff(bounds))] = len(coded)
+        which[first] = len(coded) + 1 + np.arange(len(texts))
+        coded.append(b"")
+        for text, part, by_itself in zip(texts.to_pylist() if alone.any() else first, parts.take(pa.array(first)).to_pylist(), alone, strict=True):
+            coded.append(self.text(text.decode("utf-8", "replace")) if by_itself else self.known_runs[part])
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        starts = np.cumsum(lengths) - lengths
+        ends = np.cumsum(lengths[which])
+        places = np.repeat(starts[which] - (ends - lengths[which]), lengths[which])
+        places += np.arange(len(places))
+        return np.frombuffer(b"".join(coded), np.int32)[places], np.concatenate([[0], ends])[bounds]
+
 
 class Decoder:
     """Texts of ids. All tokens lie in one run of bytes; an id's text is what stands between two neighbouring offsets."""
@@ -222,12 +276,12 @@ def encode(
         decoder = None if decodes_col is None else Decoder(encoder.vocabulary.tokens)
         for batch in batches:
             for part in slices(batch, " text"):
-                texts = [t or b"" for t in part.column(" text").to_pylist()]
-                ids = [encoder.text(t.decode("utf-8", "replace")) for t in texts]
-                ends = np.cumsum([0, *map(len, ids)]) // 4
-                out = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))]
+                texts = part.column(" text").fill_null(b"")
+                ids, bounds = encoder.batch(texts)
+                out = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))]
                 if decoder is not None:
-                    same = [decoder.text(np.frombuffer(i, np.int32)).encode() == t for i, t in zip(ids, texts, strict=True)]
+                    ids = np.split(ids, bounds[1:-1])
+                    same = [decoder.text(i).encode() == t for i, t in zip(ids, texts.to_pylist(), strict=True)]
                     out.append(pa.array(same, pa.bool_()))
                 yield [*part.columns[:-1], *out]
 

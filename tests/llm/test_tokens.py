@@ -37,6 +37,36 @@ def test_encoder_equals_library_on_random_strings(byte_library):
         assert np.frombuffer(encoder.text(text), np.int32).tolist() == byte_library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_encoder_cuts_batches_at_blanks(byte_library):
+    encoder = bpe.Encoder(bpe.Vocabulary(open(BYTE_BPE, encoding="utf-8").read()))
+    draw = random.Random(9)
+    parts = [*" " * 30, *"abest'!_1\n\t\x1c\x85\xa0\u3000\u2028", "'s", "\xe9", "\u4e2d", "23", "%%%", "<|endoftext|>", "the", "tion", " ththinger"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 30))).encode() for _ in range(3000)] + [b"\xff a\xe2 b\xe2\x80 ", b"", b"  "]
+    for rows in (texts, [], [b""], [b" ", b"\n "]):
+        ids, bounds = encoder.batch(pa.array([b"not read  ", *rows], pa.binary()).slice(1))
+        assert len(bounds) == len(rows) + 1 and bounds[-1] == len(ids)
+        for text, start, stop in zip(rows, bounds, bounds[1:]):
+            want = byte_library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+            assert ids[start:stop].tolist() == want, text
+
+
+def test_encoder_looks_each_cut_up_once_in_a_batch(monkeypatch):
+    encoder = bpe.Encoder(bpe.Vocabulary(open(BYTE_BPE, encoding="utf-8").read()))
+    asked = []
+
+    class Asked(dict):
+        def __missing__(self, key):
+            asked.append(key)
+            return encoder.text(key.decode())
+
+    monkeypatch.setattr(encoder, "known_runs", Asked())
+    monkeypatch.setattr(encoder, "text", lambda text: np.int32([len(text)]).tobytes())
+    ids, bounds = encoder.batch(pa.array([b"one two\nthree two " * 50, b"two one", b"a  b"]))
+    assert sorted(asked) == sorted([b" two\nthree", b" two", b" one", b" a", b" b", b" ", b"one", b"two"])
+    # 150 words and the blank at the end; two words; a text with two blanks in a row, on its own.
+    assert (len(ids), bounds.tolist()) == (154, [0, 151, 153, 154])
+
+
 def test_bpe_query(spark, sf_dir, documents, byte_library):
     rows = {r.doc_id: r for r in op9_bpe(spark, sf_dir).collect()}
     assert len(rows) == len(documents)
