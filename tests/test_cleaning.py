@@ -1,11 +1,12 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martloom.functions import text
+from martloom.functions import dates, text
 from martloom.operators import cleaning, staging
 
 
@@ -104,3 +105,37 @@ def test_dates_are_utc_in_any_session(spark, zone):
         assert done.filter("a_date = b_date").count() == 1 and done.columns[2:] == ["x.y", "t.z"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_text_is_parsed_once_for_its_instant(spark):
+    texts = spark.range(3).select(F.col("id").cast("string").alias("d"))
+    read = texts.select(dates.parse_like(F.col("d"), "yyyy-MM-dd HH:mm:ss", T.TimestampType()))
+    plan = read._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("gettimestamp") == 1
+
+
+def test_instants_of_far_and_odd_times(spark):
+    times = ["1969-12-31 23:59:59.999999", "0001-01-01 00:00:00.000001", "9999-12-31 23:59:59.999999", "2018-10-28 02:30:00", "2018-03-25 02:30:00.5"]
+    want = [(datetime.fromisoformat(x) - datetime(1970, 1, 1)) // timedelta(microseconds=1) for x in times]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "Europe/Berlin", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            rows = spark.createDataFrame([*enumerate([*times, None])], "i int, t string")
+            got = rows.select("i", F.unix_micros(dates.instant_of_utc(F.col("t").cast("timestamp_ntz"))).alias("m")).orderBy("i").collect()
+            assert [r.m for r in got] == [*want, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_the_usual_form_of_a_date_needs_no_pattern(spark, monkeypatch):
+    texts = ["2018-10-23 06:00:00", "2018-10-23T06:00:00", "2018-10-23 06:00:0Z", "2018-10-23 06:00Z  ", "2018-10-23 06:00+2", "2018-10-23 06:00+02:00",
+             "2018-1-23 06:00:00Z", "2018-10-23 6:00+02:00", "2018-10-23 06:00:00 Europe/Berlin", " 2018-10-3 06:00:00", "2018-10-23", "x" * 13 + ":00:00", "", None]
+    df = spark.createDataFrame([*enumerate(texts)], "i int, d_date string")
+
+    def read():
+        return cleaning.standardize_dates(df).orderBy("i").collect()
+
+    fast = read()
+    monkeypatch.setattr(cleaning, "_plain", lambda c: F.lit(False))
+    assert fast == read() and sum(r.d_date is not None for r in fast) > 5
